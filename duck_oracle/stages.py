@@ -32,8 +32,7 @@ def _title(c: str) -> str:
 
 
 def _text(c: str, title: bool) -> str:
-    cleaned = _title(_squash(c)) if title else _squash(c)
-    return f"CASE WHEN lower({cleaned}) IN ('nan', 'none', '') THEN NULL ELSE {cleaned} END"
+    return f"CASE WHEN lower({c}) IN ('nan', 'none', '') THEN NULL ELSE {_title(c) if title else c} END"
 
 
 def hash_text(*columns: str) -> str:
@@ -87,6 +86,8 @@ FROM observed""",
 SELECT * REPLACE (CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS date,
                   TRY_CAST(price AS DECIMAL(12,4)) AS price, TRY_CAST(usdprice AS DECIMAL(12,4)) AS usdprice)
 FROM scanned""",
+    "squashed": f"""
+SELECT * REPLACE ({', '.join(f'{_squash(c)} AS {c}' for c in (*_NAMES, *_CODES))}) FROM scanned""",
     "texts": f"""
 SELECT {ORDER}, CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS date,
   {', '.join(f'{_text(c, True)} AS {n}' for c, n in _NAMES.items())},
@@ -94,7 +95,7 @@ SELECT {ORDER}, CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS date,
   TRY_CAST(market_id AS INTEGER) AS source_market_id, TRY_CAST(commodity_id AS INTEGER) AS source_commodity_id,
   TRY_CAST(latitude AS DECIMAL(10,6)) AS latitude, TRY_CAST(longitude AS DECIMAL(10,6)) AS longitude,
   nullif(TRY_CAST(price AS DECIMAL(12,4)), 0) AS price_kes, nullif(TRY_CAST(usdprice AS DECIMAL(12,4)), 0) AS price_usd
-FROM scanned""",
+FROM squashed""",
     "standard": """
 SELECT *, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
   CAST(CAST(price_kes AS DOUBLE) / CASE lower(unit) WHEN 'kg' THEN 1 WHEN '1 kg' THEN 1 WHEN '100 kg' THEN 100

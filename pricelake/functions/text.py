@@ -10,7 +10,9 @@ from ..schemas import MISSING_TOKENS, NULL_TEXTS
 
 # Java's \s is ASCII without (?U); the separators x1c-x1f count as blanks too.
 _BLANKS = r"(?U)[\s\x1c-\x1f]+"
-_NOT_CASED = r"([^\p{Lu}\p{Ll}\p{Lt}])"
+# A character without case before a letter (``initcap`` deals with spaces itself), or the first
+# character of the mark, so that a mark in the data survives.
+_WORD_BREAK = r"([^\p{Lu}\p{Ll}\p{Lt} ](?=\p{L})|\x01)"
 _MARK = "\u0001 "
 
 
@@ -22,10 +24,10 @@ def squash_blanks(c: Column) -> Column:
 def title_words(c: Column) -> Column:
     """Capitalise every letter that follows a non-letter (``murang'a`` -> ``Murang'A``).
 
-    ``initcap`` only starts a word after a space, so a mark ending in a space is put behind every
-    non-letter and taken out again afterwards.
+    ``initcap`` only starts a word after a space, so a mark ending in a space is put where another
+    word starts and taken out again afterwards.
     """
-    marked = F.regexp_replace(c, _NOT_CASED, "$1" + _MARK)
+    marked = F.regexp_replace(c, _WORD_BREAK, "$1" + _MARK)
     return F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
 
 

@@ -16,7 +16,7 @@ from ..operators import quality, star
 from ..operators.cleaning import clean
 from ..operators.matching import between_dates_of, unseen
 from ..schemas import CLEAN_KEY, COMMODITY_KEY, MARKET_KEY, RAW_COLUMNS, STAGING_KEY
-from ..session import hand_off
+from ..session import hand_off, tune
 from ..sources import tables
 from ..sources.files import read_observations, resolve_source
 from ..sources.tables import Layers
@@ -130,33 +130,27 @@ def build_marts(spark: SparkSession, layers: Layers, pattern: str = "%maize%") -
     return {layers.monthly: monthly.count(), layers.trend: trend.count()}
 
 
-def run_load(
-    spark: SparkSession,
-    source: str | None = None,
-    layers: Layers = Layers(),
-    dates: tuple[str, str] = ("2006-01-01", "2026-12-31"),
+def load_batch(
+    observed: DataFrame,
+    layers: Layers,
+    dates: tuple[str, str],
     keys: Iterable[str] = CLEAN_KEY,
     mirror: bool = False,
-    trend_pattern: str = "%maize%",
-    default_source: str | None = None,
     rebalance: bool = True,
 ) -> dict:
-    """Load one source from end to end; returns the counts of every step.
+    """Raw, clean, gate, staging, dimensions, facts and the load record for some source files.
 
     Nothing is written to staging or beyond when a critical check fails.
     """
-    path = resolve_source(spark, source, default=default_source)
-    observed = read_observations(spark, path)
-    tables.ensure_tables(spark, layers)
+    spark = observed.sparkSession
     load_dates(spark, layers, *dates)
-    counts: dict = {"source": path, "raw": load_raw(observed, layers)}
+    counts: dict = {"raw": load_raw(observed, layers)}
 
     # From here on the stored raw rows of these files are the input: the text is parsed once.
     names = [unquote(file.rsplit("/", 1)[-1]) for file in observed.inputFiles()]
     raw = spark.table(layers.raw).where(F.col("source_file").isin(names))
     cleaned = hand_off(clean(raw.drop("loaded_at"), keys=keys).drop("row_seq"), "cleaned")
-    checks = quality.report(cleaned)
-    counts["checks"] = quality.gate(checks)
+    counts["checks"] = quality.gate(quality.report(cleaned))
 
     accepted, _ = staged(cleaned)
     counts["staging"], counts["rejects"] = load_staging(cleaned, layers, rebalance=rebalance)
@@ -173,6 +167,24 @@ def run_load(
         except Exception as error:  # the second target must not fail the load
             log.warning("mirror failed: %s", error)
             counts["mirror"] = None
-    counts["marts"] = build_marts(spark, layers, trend_pattern)
     tables.append_rows(file_stats(cleaned), layers.metadata)
     return counts
+
+
+def run_load(
+    spark: SparkSession,
+    source: str | None = None,
+    layers: Layers = Layers(),
+    dates: tuple[str, str] = ("2006-01-01", "2026-12-31"),
+    keys: Iterable[str] = CLEAN_KEY,
+    mirror: bool = False,
+    trend_pattern: str = "%maize%",
+    default_source: str | None = None,
+    rebalance: bool = True,
+) -> dict:
+    """Load one source from end to end and rebuild the marts; returns the counts of every step."""
+    path = resolve_source(spark, source, default=default_source)
+    tables.ensure_tables(tune(spark), layers)
+    counts = load_batch(read_observations(spark, path), layers, dates, keys, mirror, rebalance)
+    counts["marts"] = build_marts(spark, layers, trend_pattern)
+    return counts

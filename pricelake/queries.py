@@ -16,6 +16,7 @@ from .plans.load_job import raw_shape
 from .schemas import (
     CLEAN_NAMES, COMMODITY_KEY, FACT_KEY, MARKET_KEY, MONTHLY_KEY, RAW_COLUMNS, STAGING_KEY,
 )
+from .session import tune
 from .sources import sample_tables
 from .sources.tables import as_of
 
@@ -376,4 +377,4 @@ def output(df: DataFrame) -> DataFrame:
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return output(QUERIES[name](Inputs(spark, folder)))
+    return output(QUERIES[name](Inputs(tune(spark), folder)))

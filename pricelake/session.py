@@ -12,13 +12,18 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
+# The JVM never compiles a method above 8000 bytes of code. Cleaning all columns at once is such a
+# method if it is generated as one; with this limit Spark generates it in small methods.
+CODE_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
 
 def build_session(app: str = "pricelake", cores: str = "*", shuffle_partitions: int = 8, **conf) -> SparkSession:
     """A local session for tests and benchmarks; a cluster job brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    settings = {**SETTINGS, "spark.sql.shuffle.partitions": str(shuffle_partitions), **conf}
+    settings = {**SETTINGS, CODE_LIMIT[0]: CODE_LIMIT[1], "spark.sql.shuffle.partitions": str(shuffle_partitions), **conf}
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -26,6 +31,12 @@ def build_session(app: str = "pricelake", cores: str = "*", shuffle_partitions:
     return spark
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Set what the cleaning plans need on a session that somebody else built."""
+    spark.conf.set(*CODE_LIMIT)
+    return spark
+
+
 _local_folder: str | None = None
 
 

@@ -43,6 +43,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out if the input comes in fewer pieces than there are cores.
+
+    Meant for inputs that cannot be split, such as one small Parquet row group or a zipped CSV; an
+    input with enough splits is left alone and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def blank_missing(df: DataFrame, tokens: Iterable[str] = MISSING_TOKENS) -> DataFrame:
     """Missing-value tokens become NULL in every text column."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -68,20 +78,17 @@ def read_observations(
     columns = list(header) if header else reader.csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = reader.option("enforceSchema", False).schema(schema).csv(path)
-    return with_lineage(df, columns, tokens)
-
-
-def with_lineage(df: DataFrame, columns: Iterable[str], tokens: Iterable[str] = MISSING_TOKENS) -> DataFrame:
-    """Select ``columns`` with missing tokens blanked, plus ``source_file`` and ``row_seq``."""
+    # The metadata column holds the name as in a URL, where a plus sign stands for itself.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     sequence = F.struct(
         F.col("_metadata.file_modification_time").alias("file_time"),
-        F.col("_metadata.file_name").alias("file"),
+        name.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
     )
     return df.select(
         *[missing_to_null(F.col(f"`{c}`"), tokens).alias(c) for c in columns],
-        F.col("_metadata.file_name").alias("source_file"),
+        name.alias("source_file"),
         sequence.alias("row_seq"),
     )
 

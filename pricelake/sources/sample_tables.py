@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import RAW_COLUMNS
-from .files import blank_missing
+from .files import blank_missing, spread
 
 ORDERING = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 SEQUENCE = (*ORDERING, "price_kes", "unit", "priceflag")
@@ -28,7 +28,8 @@ def observations(spark: SparkSession, folder: str, source_file: bool = False) ->
     if source_file:
         items = items.select("*", F.col("_metadata.file_name").alias("source_file"))
     joined = (
-        items.join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        spread(items)
+        .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
