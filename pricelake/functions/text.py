@@ -10,15 +10,23 @@ from ..schemas import MISSING_TOKENS, NULL_TEXTS
 
 # Java's \s is ASCII without (?U); the separators x1c-x1f count as blanks too.
 _BLANKS = r"(?U)[\s\x1c-\x1f]+"
-# A character without case before a letter (``initcap`` deals with spaces itself), or the first
-# character of the mark, so that a mark in the data survives.
-_WORD_BREAK = r"([^\p{Lu}\p{Ll}\p{Lt} ](?=\p{L})|\x01)"
+# Blanks of one byte other than the space.
+_CONTROLS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+# A character without case before a letter. Before a space too, so that a mark in the data survives.
+_WORD_BREAK = r"([^\p{LC} ])(?=[\p{L} ])"
 _MARK = "\u0001 "
 
 
 def squash_blanks(c: Column) -> Column:
-    """Runs of any Unicode white space become one space; none is left at the ends."""
-    return F.trim(F.regexp_replace(c, _BLANKS, " "))
+    """Runs of any Unicode white space become one space; none is left at the ends.
+
+    The regular expression costs far more than the tests before it, and most texts do not need it:
+    only those with two spaces in a row, a control character, or characters outside ASCII.
+    """
+    odd = c.contains("  ") | (F.octet_length(c) != F.length(c))
+    for control in _CONTROLS:
+        odd = odd | c.contains(control)
+    return F.trim(F.when(odd, F.regexp_replace(c, _BLANKS, " ")).otherwise(c))
 
 
 def title_words(c: Column) -> Column:

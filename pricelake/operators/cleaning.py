@@ -41,11 +41,12 @@ def clean_texts(
     strict_tokens: bool = False,
 ) -> DataFrame:
     """Squash blanks in all text columns, capitalise the names, and blank out null texts last."""
-    exprs = {c: title_words(squash_blanks(F.col(c))) for c in names if c in df.columns}
-    exprs |= {c: squash_blanks(F.col(c)) for c in codes if c in df.columns}
-    # The inner expressions become their own projection, so the null test does not repeat them.
-    cleaned = df.withColumns(exprs)
-    return cleaned.withColumns({c: null_texts(F.col(c), strict_tokens) for c in exprs})
+    names = [c for c in names if c in df.columns]
+    texts = [*names, *[c for c in codes if c in df.columns]]
+    # One projection per step, so that no step repeats the one before it inside its tests.
+    squashed = df.withColumns({c: F.trim(c) for c in texts}).withColumns({c: squash_blanks(F.col(c)) for c in texts})
+    titled = squashed.withColumns({c: title_words(F.col(c)) for c in names})
+    return titled.withColumns({c: null_texts(F.col(c), strict_tokens) for c in texts})
 
 
 def parse_prices(df: DataFrame, columns: Iterable[str] = PRICE_COLUMNS, dtype: str = PRICE) -> DataFrame:

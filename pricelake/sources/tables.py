@@ -74,6 +74,8 @@ class Layers:
         return [f"{self.prefix}{d}" for d in ("raw", "staging", "warehouse", "analytics", "marts", "mirror")]
 
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 # The row order inside the raw files, kept with the raw rows so that cleaning reads the table only.
 ROW_SEQ = T.StructType().add("file_time", "timestamp").add("file", "string").add("block", "long").add("position", "long")
 RAW_STORED = T.StructType(
@@ -165,9 +167,16 @@ def replace_files(df: DataFrame, name: str, stamp: str | None = "loaded_at") ->
 
     A file loaded twice, refreshed or left half-written by a lost job counts once.
     """
-    fitted = fit(df, df.sparkSession.table(name).schema, stamp)
+    spark = df.sparkSession
+    fitted = fit(df, spark.table(name).schema, stamp)
     watched, seen = counted(fitted)
-    watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    # A table insert takes the mode from the session; without it all other files would be dropped.
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        watched.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
     return seen.get["rows"]
 
 
