@@ -43,14 +43,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+# An unsplittable input is at most one large file piece: more parts than this would be too small.
+MAX_PIECES = 64
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows out if the input comes in fewer pieces than there are cores.
 
     Meant for inputs that cannot be split, such as one small Parquet row group or a zipped CSV; an
     input with enough splits is left alone and not shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    pieces = min(df.sparkSession.sparkContext.defaultParallelism, MAX_PIECES)
+    return df.repartition(pieces) if df.rdd.getNumPartitions() < pieces else df
 
 
 def blank_missing(df: DataFrame, tokens: Iterable[str] = MISSING_TOKENS) -> DataFrame:
