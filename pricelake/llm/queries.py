@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, token_counts
+from . import chat, mixing, packing, secrets, token_counts, toxicity
 from .common import table
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(secrets.scan(table(spark, folder, "documents")))
+
+
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -28,12 +32,17 @@ def op8_pack_documents(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, folder, "documents"), definition))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     definition = token_counts.read_definition(public_tokenizers.path("byte_bpe_50k.json"))
     return token_counts.count_tokens(table(spark, folder, "documents"), definition, limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_chat_format, op8_pack_documents, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_mix_sources, op4_chat_format, op8_pack_documents, op9_toxicity, op10_token_counts)}
 
 ORACLES = {
     "op3_mix_sources": mixing.ORACLE.format(docs="documents")
