@@ -43,6 +43,8 @@ WORDS = {
 SAMPLE = 20_000
 #: Entries of the learnt lexicon, at most, and the lengths of the word beginnings that may enter it.
 ENTRIES, STEMS = 2_000, (4, 5, 6)
+#: Share of toxic texts among those with a term, at least, and standard deviations of certainty in its strength.
+PURITY, CERTAINTY = 0.9, 1.96
 MOST_ODDS = 6.0
 #: Tokens that a negation reaches.
 REACH = 3
@@ -187,11 +189,14 @@ def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> dict[str, float]
     n, k = F.col("toxic") + F.col("clean"), F.col("toxic")
     part = k / n
     surprise = 2 * (k * F.log(part / share) + F.when(k < n, (n - k) * F.log((1 - part) / (1 - share))).otherwise(0.0))
-    odds = F.log((k + 0.5) / (F.col("clean") + 0.5) * ((1 - share) / share))
+    # The share of toxic texts is at least this (Wilson's bound), so rare terms count for less.
+    z2 = CERTAINTY**2
+    least = (part + z2 / (2 * n) - CERTAINTY * F.sqrt(part * (1 - part) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+    odds = F.log(least / (1 - least) * ((1 - share) / share))
     # Beyond chance: the likelihood ratio of the best of so many candidates would not reach this.
-    telling = terms.where((k > 0) & (part > 0.5)).select("term", surprise.alias("surprise"), odds.alias("odds"))
+    telling = terms.where((k > 0) & (part >= PURITY)).select("term", surprise.alias("surprise"), odds.alias("odds"))
     rows = telling.where(F.col("surprise") > 2 * math.log(many)).orderBy(F.desc("surprise"), "term").limit(entries).collect()
-    return {r["term"]: min(r["odds"], MOST_ODDS) for r in rows}
+    return {r["term"]: min(r["odds"], MOST_ODDS) for r in rows if r["odds"] > 0}
 
 
 def _logistic(inputs: np.ndarray, labels: np.ndarray, decay: float = 1e-2, steps: int = 50) -> np.ndarray:
