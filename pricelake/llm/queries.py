@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, secrets, token_counts, toxicity
+from . import chat, jaccard, mixing, packing, secrets, token_counts, toxicity
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns.unionByName(added)))
 
 
+def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join_groups(table(spark, folder, "documents"), percent=80, width=5)
+
+
 def op8_pack_documents(spark: SparkSession, folder: str) -> DataFrame:
     definition = token_counts.read_definition(public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(packing.token_pieces(table(spark, folder, "documents"), definition))
@@ -42,9 +46,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), definition, limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_mix_sources, op4_chat_format, op8_pack_documents, op9_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_mix_sources, op4_chat_format, op6_ngram_jaccard, op8_pack_documents, op9_toxicity, op10_token_counts)}
 
 ORACLES = {
+    "op6_ngram_jaccard": jaccard.ORACLE.replace("{docs}", "documents"),
     "op3_mix_sources": mixing.ORACLE.format(docs="documents")
     + "SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM mixed",
 }
