@@ -30,3 +30,21 @@ def in_worker(kind: str, key: str, make: Callable):
     if kept.get(kind, (None,))[0] != key:
         kept[kind] = (key, make(key))
     return kept[kind][1]
+
+
+class Kept(dict):
+    """Answers of a function by argument; the older ones go when there are too many."""
+
+    def __init__(self, answer: Callable, most: int):
+        super().__init__()
+        self.answer, self.most, self.older = answer, most, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.answer(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found

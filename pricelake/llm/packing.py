@@ -27,11 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..scratch import Scratch
-from .common import in_worker, values
-
-#: White space at which the tokenizer always starts anew.
-SPACES = re.compile("[ \t\n\r\x0b\x0c]+")
-#: Distinct words whose ids are kept per Python worker; older ones go when there are twice as many.
+from .common import Kept, in_worker, values
+
+#: Letters whose lower case and byte alphabet are known one by one.
+LETTERS = "a-z\xdf-\xf6\xf8-\xff"
+#: Texts are cut at white space, where the tokenizer always starts anew, and between a word and a comma or full stop.
+PART = re.compile(f"[{LETTERS}]++(?=[.,])|[^ \t\n\r\x0b\x0c]++")
+PLAIN = re.compile(f"[{LETTERS}]++")
+#: Distinct parts whose ids are kept per Python worker; older ones go when there are twice as many.
 KEPT = 250_000
 ROWS_PER_BUCKET = 100_000
 BUCKETS = 64
@@ -45,31 +48,32 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        probe = ("it's x1 - A", "<y> z")
-        if self._ids(" \n".join(probe)) != b"".join(map(self._ids, probe)):
-            raise ValueError("this tokenizer depends on the white space between words")
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.alphabet = {n: pieces(chr(n))[0][0] for n in range(97, 256) if PLAIN.fullmatch(chr(n))}
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.parts = Kept(self._ids, KEPT)
+        probe = "It's x1 - A, <y> Z\xdcrich. z"
+        if self(probe) != self._encoded(probe):
+            raise ValueError("this tokenizer depends on what stands around a word")
+
+    def _encoded(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _missing(self, words: list[str]) -> None:
-        if len(self.words) > KEPT:
-            self.words, self.older = {}, self.words
-        new = [w for w in dict.fromkeys(words) if w not in self.words]
-        self.words.update((w, self.older[w]) for w in new if w in self.older)
-        new = [w for w in new if w not in self.words]
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.words.update((w, array("I", e.ids).tobytes()) for w, e in zip(new, found, strict=True))
+    def _ids(self, part: str) -> bytes:
+        if PLAIN.fullmatch(part):  # one piece that normalising leaves alone
+            return array("I", [t.id for t in self.tokenizer.model.tokenize(part.translate(self.alphabet))]).tobytes()
+        return self._encoded(part)
 
     def __call__(self, text: str) -> bytes:
-        words = SPACES.split(text)
-        found = list(map(self.words.get, words))
-        if None in found:
-            self._missing(words)
-            found = list(map(self.words.__getitem__, words))
-        return b"".join(found)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            pass
+        else:
+            lowered = text.lower()  # as the tokenizer does for these characters
+            if not any(map(lowered.__contains__, self.special)):  # special strings are found before that
+                text = lowered
+        return b"".join(map(self.parts.__getitem__, PART.findall(text)))
 
 
 def token_pieces(docs: DataFrame, definition: str, capacity: int = 2048, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text", keep_ids: bool = False) -> DataFrame:

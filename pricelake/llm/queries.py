@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, mixing, packing, secrets, token_counts, toxicity
+from . import chat, jaccard, lines, mixing, packing, secrets, token_counts, toxicity
 from .common import table
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.line_groups(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "line", "group", F.col("first.id").alias("first_doc_id"), F.col("first.line").alias("first_line"), "kept")
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, folder, "documents")))
 
@@ -46,7 +51,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), definition, limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_mix_sources, op4_chat_format, op6_ngram_jaccard, op8_pack_documents, op9_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_mix_sources, op4_chat_format, op6_ngram_jaccard, op8_pack_documents, op9_toxicity, op10_token_counts)}
 
 ORACLES = {
     "op6_ngram_jaccard": jaccard.ORACLE.replace("{docs}", "documents"),

@@ -13,6 +13,7 @@ Null texts count as empty. Other columns are ignored, so clashing names do no ha
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from array import array
@@ -25,16 +26,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_worker, values
+from .common import Kept, in_worker, values
 
 #: The white space of the tokenizer's own pattern (the Unicode property White_Space).
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Texts are cut before white space and, since a run of letters ends there anyway, before a comma or full stop.
 CHUNK = re.compile(f"[{WHITE}]*+(?:[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?=[.,])|[^{WHITE}]++)|[{WHITE}]++")
+#: A chunk that is one piece, and how the byte alphabet writes a space.
+PLAIN, SPACE = re.compile(" ?[A-Za-z]++"), "\u0120"
 #: Endings that the tokenizer's pattern takes as a piece of their own.
 ENDINGS = ("'re", "'ve", "'ll")
 #: Distinct chunks and pairs of tokens kept per Python worker; older ones go when there are twice as many.
-KEPT = 250_000
+KEPT = 400_000
+#: Prefixes of pieces whose states are kept for other pieces that begin alike, by length in bytes.
+BEGINNINGS = (9, 7, 5)
+#: Above every token number.
+WIDE = 1 << 24
 
 
 class PrefixCounter:
@@ -54,41 +61,65 @@ class PrefixCounter:
         self.longest = max(map(len, self.vocabulary), default=1)
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.alone = {t: [x.value for x in self.model.tokenize(t)] == [t] for t in self.vocabulary}
-        self.fit: dict[tuple[str, str], bool] = {}
-        self.chunks: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.names = {number: token for token, number in self.vocabulary.items()}
+        self.alone = {n for t, n in self.vocabulary.items() if [x.value for x in self.model.tokenize(t)] == [t]}
+        self.fit: dict[int, bool] = {}  # by number of the left token * WIDE + number of the right one
+        self.begun: dict[str, tuple[list[int], list[int]]] = {}
+        self.chunks = Kept(self.chunk_deltas, KEPT)
 
-    def _fits(self, left: str, right: str) -> bool:
+    def _fits(self, pair: int) -> bool:
         if len(self.fit) > 2 * KEPT:
             self.fit.clear()
-        found = self.fit[left, right] = [t.value for t in self.model.tokenize(left + right)] == [left, right]
+        left, right = (self.names[n] for n in divmod(pair, WIDE))
+        found = self.fit[pair] = [t.value for t in self.model.tokenize(left + right)] == [left, right]
         return found
 
     def piece_counts(self, piece: str) -> list[int]:
-        """Tokens of every prefix of one piece, written in the byte alphabet of the vocabulary."""
-        counts, last, alone, fit, longest = [0], [""], self.alone, self.fit, self.longest
-        for end in range(1, len(piece) + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                token = piece[start:end]
-                if token not in alone:
-                    continue
-                if start:
-                    fits = fit.get((last[start], token))
-                    if fits is None:
-                        fits = self._fits(last[start], token)
+        """Tokens of every prefix of one piece, written in the byte alphabet of the vocabulary.
+
+        The state of a prefix does not depend on what follows, so pieces that begin alike share their first steps.
+        """
+        numbers, alone, fit, fits, longest = self.vocabulary.get, self.alone, self.fit.get, self._fits, self.longest
+        counts, bases, known, begun = [0], [0], 0, self.begun  # bases: of the last token of every prefix, its number * WIDE
+        for known in BEGINNINGS:
+            if known < len(piece) and (state := begun.get(piece[:known])):
+                counts, bases = state[0][: known + 1], state[1][: known + 1]
+                break
+        else:
+            known = 0
+        start, token = known, ""
+        for end, byte in enumerate(piece[known:] if known else piece, known + 1):
+            # Exactly one start is right, so they may be tried in any order: the last one first, then longest tokens.
+            token += byte
+            number = numbers(token)
+            if number is None or not (fit(bases[start] + number) if start else number in alone):
+                for start in range(end - longest if end > longest else 0, end):
+                    token = piece[start:end]
+                    number = numbers(token)
+                    if number is not None:
+                        if not start:
+                            good = number in alone
+                        else:
+                            good = fit(bases[start] + number)
+                            if good is None:
+                                good = fits(bases[start] + number)
+                        if good:
+                            break
                 else:
-                    fits = alone[token]
-                if fits:
-                    counts.append(counts[start] + 1)
-                    last.append(token)
-                    break
-            else:
-                raise ValueError(f"no token ends at byte {end} of a piece")
+                    raise ValueError(f"no token ends at byte {end} of a piece")
+            counts.append(counts[start] + 1)
+            bases.append(number * WIDE)
+        if len(begun) > KEPT:
+            begun.clear()
+        for size in BEGINNINGS:
+            if known < size < len(piece):
+                begun[piece[:size]] = (counts, bases)
         return counts
 
     def _run(self, text: str) -> list[int]:
         """Counts after every character of a text, piece by piece."""
+        if PLAIN.fullmatch(text):  # one piece, and one byte a character
+            return self.piece_counts(text.replace(" ", SPACE))[1:]
         out, before = [], 0
         for piece, (start, end) in self.pieces(text):
             counts = self.piece_counts(piece)
@@ -104,19 +135,11 @@ class PrefixCounter:
 
     def chunk_deltas(self, chunk: str) -> bytes:
         """Change of the count at every character of a run of white space and what follows it, as int32."""
-        known = self.chunks.get(chunk)
-        if known is None:
-            known = self.older.get(chunk)
-            if known is None:
-                counts = self._run(chunk)
-                blank = len(chunk) - len(chunk.lstrip(WHITE))
-                if 1 < blank < len(chunk):  # a prefix that ends with the whole run has it as one piece
-                    counts[blank - 1] = self._run(chunk[:blank])[-1]
-                known = array("i", map(sub, counts, [0, *counts])).tobytes()
-            if len(self.chunks) >= KEPT:
-                self.chunks, self.older = {}, self.chunks
-            self.chunks[chunk] = known
-        return known
+        counts = self._run(chunk)
+        blank = len(chunk) - len(chunk.lstrip(WHITE))
+        if 1 < blank < len(chunk):  # a prefix that ends with the whole run has it as one piece
+            counts[blank - 1] = self._run(chunk[:blank])[-1]
+        return array("i", map(sub, counts, [0, *counts])).tobytes()
 
     def deltas(self, text: str) -> np.ndarray:
         """Change of the count at every character; the sum up to i is the count of ``text[:i]``."""
@@ -124,7 +147,7 @@ class PrefixCounter:
             return np.zeros(0, np.int32)
         found = list(self.special.finditer(text)) if self.special else []
         if not found:
-            return np.frombuffer(b"".join(map(self.chunk_deltas, CHUNK.findall(text))), np.int32)
+            return np.frombuffer(b"".join(map(self.chunks.__getitem__, CHUNK.findall(text))), np.int32)
         parts, at = [], 0
         for match in found:
             plain = text[at : match.start()]
@@ -140,7 +163,7 @@ class PrefixCounter:
         return np.concatenate(parts)
 
     def _plain(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.chunk_deltas, CHUNK.findall(text))), np.int32)
+        return np.frombuffer(b"".join(map(self.chunks.__getitem__, CHUNK.findall(text))), np.int32)
 
     def counts(self, text: str) -> np.ndarray:
         """Tokens of ``text[:0]``, ``text[:1]`` and so on, up to the whole text."""
@@ -162,11 +185,14 @@ def _scan(docs: DataFrame, definition: str, id_column: str, text_column: str, sc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = in_worker("prefix counter", sent.value, PrefixCounter)
-        for batch in batches:
-            rows = [answer(counter, text or "") for text in values(batch.column(1))]
-            columns = [pa.array(list(c)) for c in zip(*rows, strict=True)] if rows else []
-            if rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
+        gc.disable()  # the counter keeps very many lists that hold no cycles
+        try:
+            for batch in batches:
+                rows = [answer(counter, text or "") for text in values(batch.column(1))]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c)) for c in zip(*rows, strict=True))], names=names)
+        finally:
+            gc.enable()
 
     names = [part.split()[0] for part in schema.split(",")]
     kind = dict(docs.dtypes)[id_column]
