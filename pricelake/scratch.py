@@ -37,7 +37,7 @@ class Scratch:
     def store(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back, so that what follows starts from the files and not from its lineage."""
         path = f"{self.root}/{name}"
-        df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+        df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
