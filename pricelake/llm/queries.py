@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, lines, mixing, packing, secrets, token_counts, toxicity
+from . import chat, jaccard, lattice, lines, mixing, packing, secrets, token_counts, toxicity
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join_groups(table(spark, folder, "documents"), percent=80, width=5)
 
 
+def op7_lattice_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_groups(table(spark, folder, "embeddings"), threshold=0.9)
+
+
 def op8_pack_documents(spark: SparkSession, folder: str) -> DataFrame:
     definition = token_counts.read_definition(public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(packing.token_pieces(table(spark, folder, "documents"), definition))
@@ -51,7 +55,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), definition, limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_mix_sources, op4_chat_format, op6_ngram_jaccard, op8_pack_documents, op9_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_mix_sources, op4_chat_format, op6_ngram_jaccard, op7_lattice_near_dedup, op8_pack_documents, op9_toxicity, op10_token_counts)}
 
 ORACLES = {
     "op6_ngram_jaccard": jaccard.ORACLE.replace("{docs}", "documents"),
