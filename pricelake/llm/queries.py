@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, lattice, lines, mixing, packing, secrets, token_counts, toxicity
+from . import chat, imatch, jaccard, lattice, lines, mixing, packing, secrets, token_counts, toxicity
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns.unionByName(added)))
 
 
+def op5_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, folder, "documents"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join_groups(table(spark, folder, "documents"), percent=80, width=5)
 
@@ -55,7 +59,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), definition, limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_mix_sources, op4_chat_format, op6_ngram_jaccard, op7_lattice_near_dedup, op8_pack_documents, op9_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_mix_sources, op4_chat_format, op5_imatch_fingerprints, op6_ngram_jaccard, op7_lattice_near_dedup, op8_pack_documents, op9_toxicity, op10_token_counts)}
 
 ORACLES = {
     "op6_ngram_jaccard": jaccard.ORACLE.replace("{docs}", "documents"),
