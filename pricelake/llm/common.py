@@ -24,6 +24,13 @@ def values(column: pa.Array, step: int = 256) -> Iterator:
         yield from column.slice(start, step).to_pylist()
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """Column names like ``names`` that clash with none of ``taken`` in any case."""
+    used = {name.lower() for name in taken}
+    lead = next("_" * n for n in range(1, len(used) + 3) if not any(("_" * n + name).lower() in used for name in names))
+    return [lead + name for name in names]
+
+
 def in_worker(kind: str, key: str, make: Callable):
     """``make(key)``, kept in the Python worker: Spark uses a worker again, and big tables need loading once only."""
     kept = sys.modules.setdefault("pricelake_worker_state", ModuleType("pricelake_worker_state")).__dict__

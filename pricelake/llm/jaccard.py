@@ -29,9 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..scratch import Scratch
-from .common import values
+from .common import fresh, values
 from .graph import components, linked
 from .shingles import U, mix, overlap, set_id, shingle_set
 
@@ -219,11 +220,8 @@ def _checked(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def join_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_column: str = "doc_id", text_column: str = "text", scratch: Scratch | None = None) -> DataFrame:
-    """``id, size`` (of the set) and ``component_id``: smallest id reachable over links, of every row of ``docs``."""
-    scratch = scratch or Scratch(docs.sparkSession)
-    plan = Plan(percent, width)
-    rows = _rows(docs, id_column, text_column)
+def _grouped(rows: DataFrame, plan: Plan, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``id, size, node, group`` of every row, and per group ``least``: the smallest (id, node) whose id is not null."""
     info = scratch.store(_nodes(rows, plan), "nodes")
 
     met = info.select("node", F.explode("subsets").alias("at")).select("at.key", "node", "at.side").distinct()
@@ -240,11 +238,39 @@ def join_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_column: s
 
     edges = small.unionByName(large.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")))
     groups = components(scratch, edges, "groups")
-    placed = info.join(groups.hint("merge"), "node", "left").select("id", "size", F.coalesce("component", "node").alias("group"))
+    placed = info.join(groups.hint("merge"), "node", "left").select("id", "size", "node", F.coalesce("component", "node").alias("group"))
     placed = scratch.store(placed, "placed")
-    least = scratch.store(placed.where("group is not null").groupBy("group").agg(F.min("id").alias("least")), "least")
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("node"))
+    least = placed.where("group is not null").groupBy("group").agg(F.min(order).alias("first")).select("group", F.col("first.id").alias("least"), F.col("first.node").alias("least_node"))
+    return placed, scratch.store(least, "least")
+
+
+def join_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_column: str = "doc_id", text_column: str = "text", scratch: Scratch | None = None) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` (smallest id reachable over links) of every row of ``docs``."""
+    placed, least = _grouped(_rows(docs, id_column, text_column), Plan(percent, width), scratch or Scratch(docs.sparkSession))
     found = placed.join(least.hint("merge"), "group", "left")
-    return found.select(F.col("id").alias(id_column), F.col("size").alias("n_shingles"), F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+    component = F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("least"))
+    return found.select(F.col("id").alias(id_column), F.col("size").alias("n_shingles"), component.alias("component_id"))
+
+
+def keep_first(docs: DataFrame, percent: int = 80, width: int = 5, id_column: str = "doc_id", text_column: str = "text", scratch: Scratch | None = None) -> DataFrame:
+    """``docs`` with one row of every group, one with the smallest id; rows without words all stay."""
+    scratch, plan, names = scratch or Scratch(docs.sparkSession), Plan(percent, width), docs.columns
+    _, least = _grouped(_rows(docs, id_column, text_column), plan, scratch)
+    at = names.index(text_column)
+    node, kept, kept_node = fresh(names, "node", "kept", "kept_node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = (shingle_set(text, plan.width) for text in values(batch.column(at)))
+            nodes = pa.array([set_id(x) if len(x) else None for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, nodes], names=[*names, node])
+
+    marked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(node, T.LongType())]))
+    firsts = scratch.store(least.select(F.col("least").alias(kept), F.col("least_node").alias(kept_node)), "firsts")
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col(kept)) & (F.col(node) == F.col(kept_node))
+    found = marked.where(F.col(node).isNotNull()).join(firsts.hint("merge"), same, "left_semi").dropDuplicates([id_column, node])
+    return found.unionByName(marked.where(F.col(node).isNull())).drop(node)
 
 
 GROUPS_SQL = r"""

@@ -60,37 +60,61 @@ def word_counts(docs: DataFrame, text_column: str = "text") -> Column:
 
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights: tuple[int, ...] = WEIGHTS, scratch: Scratch | None = None) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies`` of every document."""
-    scratch = scratch or Scratch(docs.sparkSession)
-    sized = docs.select(F.col(id_column).alias("id"), F.col(source_column).alias("source"), word_counts(docs, text_column).alias("size"))
-    sized = scratch.store(sized, "sizes")
-    return _mix(sized, sized.count(), weights).withColumnRenamed("id", id_column)
+    sized, starts, buckets = _starts(docs, id_column, text_column, source_column, weights, scratch or Scratch(docs.sparkSession))
+    taken = _taken(_placed(sized, buckets), starts, ["size", "id"])
+    return taken.select(F.col("id").alias(id_column), "source", "size", "source_size", "target", "copies")
 
 
-def _mix(sized: DataFrame, rows: int, weights: tuple[int, ...]) -> DataFrame:
-    buckets = BUCKETS + rows // ROWS_PER_BUCKET
-    named = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))  # null matches null in joins below
-    placed = sized.select(
-        "id", "source", "size", named.alias("name"),
+def sample(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights: tuple[int, ...] = WEIGHTS, scratch: Scratch | None = None) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it."""
+    _, starts, buckets = _starts(docs, id_column, text_column, source_column, weights, scratch or Scratch(docs.sparkSession))
+    sized = _sized(docs, id_column, text_column, source_column, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"))
+    taken = _taken(_placed(sized, buckets, "whole"), starts, ["size", "id", F.xxhash64("whole")])
+    repeated = taken.where("copies > 0").select("whole", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    return repeated.select("whole.*")
+
+
+def _sized(docs: DataFrame, id_column: str, text_column: str, source_column: str, *more: Column) -> DataFrame:
+    return docs.select(F.col(id_column).alias("id"), F.col(source_column).alias("source"), word_counts(docs, text_column).alias("size"), *more)
+
+
+def _placed(sized: DataFrame, buckets: int, *more: str) -> DataFrame:
+    return sized.select(
+        "id", "source", "size", *more, _name(F.col("source")).alias("name"),
         F.floor(F.sqrt("size")).alias("band"),
         F.pmod(F.coalesce(spread(F.col("id")), F.lit(0)), F.lit(buckets)).alias("bucket"),
     )
-    cells = placed.groupBy("name", "source", "band", "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+
+
+def _name(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("s"), source), F.lit("null"))  # so that null matches null in joins
+
+
+def _starts(docs: DataFrame, id_column: str, text_column: str, source_column: str, weights: tuple[int, ...], scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
+    """Sizes of all documents; per cell its first rank in the source's line, with size and target of the source; buckets."""
+    sized = scratch.store(_sized(docs, id_column, text_column, source_column), "sizes")
+    buckets = BUCKETS + sized.count() // ROWS_PER_BUCKET
+    cells = _placed(sized, buckets).groupBy("name", "source", "band", "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     bands = cells.groupBy("name", "source", "band").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
     goals = targets(bands.groupBy("source").agg(F.sum("words").alias("source_size")), weights)
-    goals = goals.withColumn("name", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))).drop("source")
+    goals = goals.select(_name(F.col("source")).alias("name"), "source_size", "target")
     before = lambda by, order: F.coalesce(
         F.sum("n").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     band_starts = bands.select("name", "band", before(["name"], "band").alias("in_source")).join(goals, "name")
     cell_starts = cells.select("name", "band", "bucket", before(["name", "band"], "bucket").alias("in_band"))
-    starts = cell_starts.join(band_starts, ["name", "band"])
-    rank = F.row_number().over(Window.partitionBy("name", "band", "bucket").orderBy("size", "id"))
+    return sized, cell_starts.join(band_starts, ["name", "band"]), buckets
+
+
+def _taken(placed: DataFrame, starts: DataFrame, order: list) -> DataFrame:
+    """``placed`` with ``copies``: whole numbers that a document's stretch of the running sum crosses."""
+    rank = F.row_number().over(Window.partitionBy("name", "band", "bucket").orderBy(*order))
     ranked = placed.withColumn("rank", rank).join(starts, ["name", "band", "bucket"])
     place = F.col("in_source") + F.col("in_band") + F.col("rank")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = spread(F.col("name")) / 4294967296.0
     copies = F.floor(offset + place * expected) - F.floor(offset + (place - 1) * expected)
-    return ranked.select("id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
+    return ranked.withColumn("copies", copies.cast("long"))
 
 
 ORACLE = r"""
