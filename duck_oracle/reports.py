@@ -118,11 +118,22 @@ BY_COMMODITY = f"""
 SELECT commodity AS metric, {money('avg(avg_price_per_kg)')} AS value FROM monthly WHERE avg_price_per_kg IS NOT NULL
 GROUP BY commodity ORDER BY value DESC NULLS FIRST, metric NULLS LAST LIMIT 15"""
 
+COUNTERS = """
+SELECT 'dates_failed' AS counter, count(*) AS rows FROM scanned WHERE date IS NOT NULL AND try_strptime(date, '%Y-%m-%d') IS NULL
+UNION ALL SELECT 'price_kes_failed', count(*) FROM scanned WHERE price IS NOT NULL AND TRY_CAST(price AS DECIMAL(28,4)) IS NULL
+UNION ALL SELECT 'price_kes_zero', count(*) FROM scanned WHERE TRY_CAST(price AS DECIMAL(28,4)) = 0
+UNION ALL SELECT 'price_usd_failed', count(*) FROM scanned WHERE usdprice IS NOT NULL AND TRY_CAST(usdprice AS DECIMAL(28,4)) IS NULL
+UNION ALL SELECT 'price_usd_zero', count(*) FROM scanned WHERE TRY_CAST(usdprice AS DECIMAL(28,4)) = 0
+UNION ALL SELECT 'duplicates_removed', (SELECT count(*) FROM standard) - (SELECT count(*) FROM (SELECT DISTINCT date, market, commodity, pricetype FROM standard))"""
+
 QUERIES = {
     "scan_obs": "SELECT * FROM scanned",
     "load_raw": """
 SELECT date, admin1, admin2, market, market_id, latitude, longitude, category, commodity, commodity_id, unit, priceflag,
   pricetype, currency, price, usdprice, 'lineitem.parquet' AS source_file FROM scanned""",
+    "raw_by_file": """
+SELECT CASE WHEN source_path < '/prices/1996' THEN 1 ELSE 2 END AS load_no, source_path, count(*) AS rows
+FROM (SELECT '/prices/' || coalesce(substr(date, 1, 4), 'none') || '/prices.csv' AS source_path FROM scanned) GROUP BY ALL""",
     "clean_rename": """
 SELECT date, admin1 AS county, admin2 AS district, market, market_id AS source_market_id, latitude, longitude, category,
   commodity, commodity_id AS source_commodity_id, unit, priceflag, pricetype, currency, price AS price_kes,
@@ -130,8 +141,8 @@ SELECT date, admin1 AS county, admin2 AS district, market, market_id AS source_m
     "clean_dates": f"SELECT {ORDER}, date AS date_text, CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS date FROM scanned",
     "clean_strings": f"SELECT {ORDER}, county, district, market, category, commodity, unit, priceflag, pricetype, currency FROM texts",
     "clean_prices": f"""
-SELECT {ORDER}, price AS price_text, CAST(nullif(TRY_CAST(price AS DECIMAL(12,4)), 0) AS DOUBLE) AS price_kes,
-  CAST(nullif(TRY_CAST(usdprice AS DECIMAL(12,4)), 0) AS DOUBLE) AS price_usd FROM scanned""",
+SELECT {ORDER}, price AS price_text, CAST(nullif(TRY_CAST(price AS DECIMAL(28,4)), 0) AS DOUBLE) AS price_kes,
+  CAST(nullif(TRY_CAST(usdprice AS DECIMAL(28,4)), 0) AS DOUBLE) AS price_usd FROM scanned""",
     "clean_derive": f"SELECT {ORDER}, date, source_market_id, source_commodity_id, {dbl('latitude', 'longitude')}, year, month FROM standard",
     "unit_price": f"SELECT {ORDER}, unit, {dbl('price_kes', 'price_per_kg')} FROM standard",
     "flag_valid": f"SELECT {ORDER}, date, {dbl('price_kes')}, is_valid_price FROM standard",
@@ -298,6 +309,16 @@ FROM ({BY_COMMODITY})""",
     "dash_latest_months": """
 SELECT month_start, county, commodity, avg_price_kes, avg_price_per_kg, num_observations FROM monthly
 ORDER BY month_start DESC NULLS FIRST, county NULLS LAST, commodity NULLS LAST, unit NULLS LAST LIMIT 200""",
+    "clean_counters": COUNTERS,
+    "broken_keys": " UNION ALL ".join(
+        [_unique("standard", "standard", "date,market,commodity,pricetype"), _unique("standard", "standard", "market,unit")]
+    ),
+    "broken_relationship": f"""
+SELECT 'fact' AS table_name, 'relationship' AS test, 'date_id' AS column_name, count(*) AS violations, count(*) = 0 AS passed
+FROM facts WHERE date_id NOT IN (SELECT date_id FROM dates WHERE full_date >= DATE '1998-07-01')
+UNION ALL
+SELECT 'fact', 'relationship', 'market_id', count(*), count(*) = 0
+FROM facts WHERE market_id NOT IN (SELECT market_id FROM markets WHERE source_market_id % 5 <> 0)""",
     "quality_report": QUALITY,
     "test_not_null": " UNION ALL ".join(
         [
@@ -334,5 +355,33 @@ ORDER BY month_start DESC NULLS FIRST, county NULLS LAST, commodity NULLS LAST,
 }
 
 
+def _does_not_fit(c: str) -> str:
+    return f"{c} IS NOT NULL AND TRY_CAST({c} AS DECIMAL(12,4)) IS NULL"
+
+
+_PRICES = ("price_kes", "price_usd", "price_per_kg")
+_MISSING = {"price_date": "date", "year": "year", "month": "month", "market": "market", "commodity": "commodity"}
+_REASONS = [f"CASE WHEN {c} IS NULL THEN '{name} is missing' END" for name, c in _MISSING.items()]
+_REASONS += [f"CASE WHEN {_does_not_fit(c)} THEN '{c} does not fit decimal(12,4)' END" for c in _PRICES]
+
+# Over the odd observations.
+ODD_QUERIES = {
+    "staging_rejects_odd": f"""
+SELECT date AS price_date, market, commodity, unit, pricetype, concat_ws(', ', {', '.join(_REASONS)}) AS reason FROM cleaned
+WHERE date IS NULL OR market IS NULL OR commodity IS NULL OR {' OR '.join(f'({_does_not_fit(c)})' for c in _PRICES)}""",
+    "clean_prices_odd": QUERIES["clean_prices"],
+    "clean_derive_odd": QUERIES["clean_derive"],
+    "clean_counters_odd": COUNTERS,
+    "broken_columns": " UNION ALL ".join(
+        [
+            _null_tests("standard", "standard", ("date", "market", "commodity", "price_kes", "unit")),
+            _tested("standard", "standard", "accepted_range", {"price_kes": "price_kes <= 0", "year": "year < 1994 OR year > 1996"}),
+            _tested("standard", "standard", "accepted_values", {"month": "month NOT BETWEEN 2 AND 11"}),
+        ]
+    ),
+}
+
+
 def oracles() -> dict[str, str]:
-    return {name: sql(query) for name, query in QUERIES.items()}
+    broken = {"quality_report_broken": sql(QUALITY.replace("FROM cleaned", "FROM standard"), odd=True)}
+    return {name: sql(query) for name, query in QUERIES.items()} | {name: sql(query, odd=True) for name, query in ODD_QUERIES.items()} | broken

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import re
 
-from pricelake.schemas import MISSING_TOKENS
-
 ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 TEXTS = (
-    "date", "admin1", "admin2", "market", "latitude", "longitude", "category", "commodity", "unit",
+    "date", "admin1", "admin2", "market", "market_id", "commodity_id", "latitude", "longitude", "category", "commodity", "unit",
     "priceflag", "pricetype", "currency", "price", "usdprice",
 )
-TOKENS = ", ".join(f"'{t}'" for t in MISSING_TOKENS)
+# Texts a CSV reader takes for a missing value.
+TOKENS = """'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A', 'NA',
+  'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"""
 
 
 def money(expr: str, places: int = 2) -> str:
@@ -35,6 +35,11 @@ def _text(c: str, title: bool) -> str:
     return f"CASE WHEN lower({c}) IN ('nan', 'none', '') THEN NULL ELSE {_title(c) if title else c} END"
 
 
+def _whole(c: str) -> str:
+    number = f"TRY_CAST({c} AS DECIMAL(38,9))"
+    return f"CASE WHEN {number} = floor({number}) THEN TRY_CAST({number} AS INTEGER) END"
+
+
 def hash_text(*columns: str) -> str:
     def part(c: str) -> str:
         text = f"CAST({c} AS VARCHAR)"
@@ -55,12 +60,12 @@ SELECT
   CASE WHEN l_suppkey % 17 = 0 THEN NULL ELSE concat('  ', lower(replace(n_name, '_', '-'))) END AS admin1,
   CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE concat(r_name, '   (sub) ') END AS admin2,
   CASE WHEN l_orderkey % 401 = 0 THEN NULL ELSE concat('  ', s_name, ' town''s  mkt') END AS market,
-  l_suppkey AS market_id,
+  CAST(l_suppkey AS VARCHAR) || CASE WHEN l_suppkey % 7 = 0 THEN '.0' ELSE '' END AS market_id,
   CAST(CAST(l_suppkey % 180 - 90 AS DECIMAL(10,6)) AS VARCHAR(20)) AS latitude,
   CAST(CAST(l_suppkey % 360 - 180 AS DECIMAL(10,6)) AS VARCHAR(20)) AS longitude,
   CASE WHEN l_partkey % 19 = 0 THEN '' ELSE p_type END AS category,
   concat(' ', p_name, '  (white) ') AS commodity,
-  l_partkey AS commodity_id,
+  CAST(l_partkey AS VARCHAR) || CASE WHEN l_partkey % 7 = 0 THEN '.0' ELSE '' END AS commodity_id,
   CASE CAST(l_quantity AS INT) % 9 WHEN 0 THEN 'KG' WHEN 1 THEN '90 KG' WHEN 2 THEN ' 50  kg ' WHEN 3 THEN '2 KG'
        WHEN 4 THEN '200 G' WHEN 5 THEN 'L' WHEN 6 THEN 'Head' WHEN 7 THEN '100 KG' ELSE NULL END AS unit,
   CASE l_linestatus WHEN 'O' THEN 'actual' ELSE 'aggregate' END AS priceflag,
@@ -84,7 +89,7 @@ SELECT * REPLACE ({', '.join(f"CASE WHEN {c} IN ({TOKENS}) THEN NULL ELSE {c} EN
 FROM observed""",
     "typed": """
 SELECT * REPLACE (CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS date,
-                  TRY_CAST(price AS DECIMAL(12,4)) AS price, TRY_CAST(usdprice AS DECIMAL(12,4)) AS usdprice)
+                  TRY_CAST(price AS DECIMAL(28,4)) AS price, TRY_CAST(usdprice AS DECIMAL(28,4)) AS usdprice)
 FROM scanned""",
     "squashed": f"""
 SELECT * REPLACE ({', '.join(f'{_squash(c)} AS {c}' for c in (*_NAMES, *_CODES))}) FROM scanned""",
@@ -92,14 +97,14 @@ SELECT * REPLACE ({', '.join(f'{_squash(c)} AS {c}' for c in (*_NAMES, *_CODES))
 SELECT {ORDER}, CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS date,
   {', '.join(f'{_text(c, True)} AS {n}' for c, n in _NAMES.items())},
   {', '.join(f'{_text(c, False)} AS {c}' for c in _CODES)},
-  TRY_CAST(market_id AS INTEGER) AS source_market_id, TRY_CAST(commodity_id AS INTEGER) AS source_commodity_id,
+  {_whole('market_id')} AS source_market_id, {_whole('commodity_id')} AS source_commodity_id,
   TRY_CAST(latitude AS DECIMAL(10,6)) AS latitude, TRY_CAST(longitude AS DECIMAL(10,6)) AS longitude,
-  nullif(TRY_CAST(price AS DECIMAL(12,4)), 0) AS price_kes, nullif(TRY_CAST(usdprice AS DECIMAL(12,4)), 0) AS price_usd
+  nullif(TRY_CAST(price AS DECIMAL(28,4)), 0) AS price_kes, nullif(TRY_CAST(usdprice AS DECIMAL(28,4)), 0) AS price_usd
 FROM squashed""",
     "standard": """
 SELECT *, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
   CAST(CAST(price_kes AS DOUBLE) / CASE lower(unit) WHEN 'kg' THEN 1 WHEN '1 kg' THEN 1 WHEN '100 kg' THEN 100
-    WHEN '90 kg' THEN 90 WHEN '50 kg' THEN 50 WHEN '25 kg' THEN 25 WHEN '2 kg' THEN 2 END AS DECIMAL(12,4)) AS price_per_kg,
+    WHEN '90 kg' THEN 90 WHEN '50 kg' THEN 50 WHEN '25 kg' THEN 25 WHEN '2 kg' THEN 2 END AS DECIMAL(28,4)) AS price_per_kg,
   price_kes IS NOT NULL AND coalesce(price_kes, 0) > 0 AND date IS NOT NULL AS is_valid_price
 FROM texts""",
     "cleaned": f"""
@@ -156,7 +161,16 @@ def _needs(text: str) -> list[str]:
     return [s for s in STAGES if re.search(rf"\b(FROM|JOIN)\s+{s}\b", text)]
 
 
-def sql(query: str) -> str:
+# The observations with negative and too large prices and ids that are no whole numbers.
+ODD = """
+SELECT * REPLACE (
+  CASE WHEN l_orderkey % 13 = 0 THEN CAST(CAST(CAST(real_price AS DECIMAL(12,4)) * 100000 AS DECIMAL(28,4)) AS VARCHAR)
+       WHEN l_orderkey % 11 = 0 THEN CAST(-CAST(real_price AS DECIMAL(12,4)) AS VARCHAR) ELSE price END AS price,
+  CASE WHEN l_orderkey % 5 = 0 THEN CAST(l_suppkey AS VARCHAR) || '.5' ELSE market_id END AS market_id)
+FROM ({})"""
+
+
+def sql(query: str, odd: bool = False) -> str:
     """``query`` with every stage it reads, directly or not, in a WITH clause."""
     wanted: set[str] = set()
     todo = _needs(query)
@@ -165,5 +179,6 @@ def sql(query: str) -> str:
         if stage not in wanted:
             wanted.add(stage)
             todo += _needs(STAGES[stage])
-    blocks = [f"{s} AS ({STAGES[s].strip()}\n)" for s in STAGES if s in wanted]
+    changed = {"observed": ODD.format(OBSERVED.replace("FROM lineitem", ", l_extendedprice AS real_price FROM lineitem"))} if odd else {}
+    blocks = [f"{s} AS ({(STAGES | changed)[s].strip()}\n)" for s in STAGES if s in wanted]
     return ("WITH " + ",\n".join(blocks) + "\n" if blocks else "") + query.strip()

@@ -1,10 +1 @@
-from .amounts import banded, money_round, parse_amount, pct_change
-from .dates import date_key, month_start, parse_day
-from .keys import hash_key, match_columns, row_fingerprint
-from .text import contains, missing_to_null, null_texts, squash_blanks, title_words
-
-__all__ = [
-    "banded", "contains", "date_key", "hash_key", "match_columns", "missing_to_null", "money_round",
-    "month_start", "null_texts", "parse_amount", "parse_day", "pct_change", "row_fingerprint",
-    "squash_blanks", "title_words",
-]
+"""Column expressions."""

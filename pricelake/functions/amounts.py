@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from ..schemas import PRICE
+from ..schemas import WIDE_PRICE
 
 
-def parse_amount(c: Column, dtype: str = PRICE) -> Column:
+def parse_amount(c: Column, dtype: str = WIDE_PRICE) -> Column:
     """Text to a decimal; anything that is not a number becomes NULL (also NaN and inf)."""
     return c.try_cast(dtype)
 
 
+def parse_integer(c: Column) -> Column:
+    """Text to an integer, also where it went through a float (``186.0``); a fraction or too large a number gives NULL."""
+    number = c.cast("string").try_cast("decimal(38,9)")
+    return F.when(number == F.floor(number), number.try_cast("int"))
+
+
 def money_round(c: Column, places: int = 2) -> Column:
     """Round half up on the decimal value, not on its binary neighbour; result is DOUBLE."""
     return F.round(c.cast("decimal(28,6)"), places).cast("double")

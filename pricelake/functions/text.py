@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
@@ -52,4 +53,5 @@ def null_texts(c: Column, strict: bool = False) -> Column:
 
 def contains(c: Column, text: str) -> Column:
     """Case-insensitive contains that is false, not NULL, for a missing text."""
-    return F.coalesce(c.ilike(f"%{text}%"), F.lit(False))
+    escaped = re.sub(r"([\\%_])", r"\\\1", text)
+    return F.coalesce(c.ilike(f"%{escaped}%"), F.lit(False))

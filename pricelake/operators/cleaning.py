@@ -9,7 +9,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.amounts import parse_amount
+from ..functions.amounts import parse_amount, parse_integer
 from ..functions.dates import DAY_FORMAT, parse_day
 from ..functions.text import null_texts, squash_blanks, title_words
 from ..schemas import (
@@ -18,9 +18,9 @@ from ..schemas import (
     CODE_COLUMNS,
     COORDINATE,
     NAME_COLUMNS,
-    PRICE,
     PRICE_COLUMNS,
     UNIT_KILOGRAMS,
+    WIDE_PRICE,
 )
 
 
@@ -49,7 +49,7 @@ def clean_texts(
     return titled.withColumns({c: null_texts(F.col(c), strict_tokens) for c in texts})
 
 
-def parse_prices(df: DataFrame, columns: Iterable[str] = PRICE_COLUMNS, dtype: str = PRICE) -> DataFrame:
+def parse_prices(df: DataFrame, columns: Iterable[str] = PRICE_COLUMNS, dtype: str = WIDE_PRICE) -> DataFrame:
     """Numbers from text; what is not a number becomes NULL, and so does a price of zero."""
     return df.withColumns({c: F.nullifzero(parse_amount(F.col(c), dtype)) for c in columns if c in df.columns})
 
@@ -64,7 +64,7 @@ def derive_parts(
     exprs = {}
     if date in df.columns:
         exprs |= {"year": F.year(date), "month": F.month(date)}
-    exprs |= {c: F.col(c).try_cast("int") for c in integers if c in df.columns}
+    exprs |= {c: parse_integer(F.col(c)) for c in integers if c in df.columns}
     exprs |= {c: F.col(c).try_cast(COORDINATE) for c in coordinates if c in df.columns}
     return df.withColumns(exprs)
 
@@ -81,7 +81,7 @@ def price_per_unit(
         return df
     table = F.create_map(*[F.lit(x) for pair in factors.items() for x in pair])
     factor = F.try_element_at(table, F.lower(F.trim(unit)))
-    return df.withColumn(into, (F.col(price) / factor).cast(PRICE))
+    return df.withColumn(into, (F.col(price) / factor).cast(WIDE_PRICE))
 
 
 def flag_valid(
@@ -133,3 +133,24 @@ def standardise(df: DataFrame, strict_tokens: bool = False, fmt: str = DAY_FORMA
         .transform(price_per_unit)
         .transform(flag_valid)
     )
+
+
+def counters(df: DataFrame, keys: Iterable[str] = CLEAN_KEY, fmt: str = DAY_FORMAT) -> DataFrame:
+    """``counter, rows``: what cleaning takes away. Dates and prices that fail or are zero, and rows that repeat a key.
+
+    ``df`` holds the observations as scanned. Missing values are not failures, so the two can be told apart.
+    """
+    named = standard_names(df)
+    measures = {}
+    if "date" in named.columns:
+        measures["dates_failed"] = F.col("date").isNotNull() & parse_day(F.col("date"), fmt).isNull()
+    for c in PRICE_COLUMNS:
+        if c in named.columns:
+            measures[f"{c}_failed"] = F.col(c).isNotNull() & parse_amount(F.col(c)).isNull()
+            measures[f"{c}_zero"] = parse_amount(F.col(c)) == 0
+    seen = named.agg(*[F.count_if(m).alias(name) for name, m in measures.items()])
+    rows = [F.struct(F.lit(name).alias("counter"), F.col(name).alias("rows")) for name in measures]
+    cleaned = standardise(df, fmt=fmt)
+    present = [k for k in keys if k in cleaned.columns]
+    repeats = cleaned.groupBy(*present).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("rows"))
+    return seen.select(F.inline(F.array(*rows))).unionByName(repeats.select(F.lit("duplicates_removed").alias("counter"), "rows"))

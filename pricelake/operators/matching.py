@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -9,6 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import match_columns
 
+log = logging.getLogger("pricelake.matching")
+
+# A broadcast set of days must stay a small table: a thousand years.
+MAX_BROADCAST_DAYS = 366_000
+
 
 def null_safe(pairs: Iterable[tuple[Column, Column]]) -> Column:
     return reduce(lambda a, b: a & b, (left.eqNullSafe(right) for left, right in pairs))
@@ -21,27 +27,33 @@ def unseen(incoming: DataFrame, existing: DataFrame, keys: Iterable[str]) -> Dat
     is repeated there cannot grow one task.
     """
     keys = list(keys)
-    if any(k not in incoming.columns or k not in existing.columns for k in keys):
+    absent = [k for k in keys if k not in incoming.columns or k not in existing.columns]
+    if absent:
+        log.warning("key columns %s are absent: all rows count as unseen", ", ".join(absent))
         return incoming
     left, names = match_columns(incoming, keys)
     right, _ = match_columns(existing.select(*keys), keys)
     return left.join(right.select(*names).distinct(), names, "left_anti").drop(*names)
 
 
-def between_dates_of(existing: DataFrame, incoming: DataFrame, date: str, year: str | None = None) -> DataFrame:
-    """Limit ``existing`` to the date span of ``incoming`` before their keys are compared.
+def dates_of(rows: DataFrame, date: str) -> DataFrame:
+    """``day``: the distinct dates of ``rows``, NULL included; as many as the calendar has at most."""
+    return rows.select(F.col(date).alias("day")).distinct()
+
+
+def on_dates(existing: DataFrame, days: DataFrame, date: str, year: str | None = None) -> DataFrame:
+    """Limit ``existing`` to the ``days`` (see ``dates_of``) before keys are compared.
 
-    Right because the date is part of the key. The span is one row; with ``year`` the partitions of
-    an existing table outside it are not read at all.
+    Right because the date is part of the key. With ``year``, the name of the partition column, only the years that occur
+    in ``days`` are read: a stray date of another century costs its own year, not all years between.
     """
-    low, high = incoming.agg(F.min(date), F.max(date)).first()
-    if low is None:
-        return existing.where(F.col(date).isNull())
-    inside = F.col(date).between(F.lit(low), F.lit(high))
     if year:
-        # NOT NULL dates only: a partitioned table has no NULL date.
-        return existing.where(F.col(year).between(low.year, high.year) & inside)
-    return existing.where(inside | F.col(date).isNull())
+        years = [r[0] for r in days.select(F.year("day")).distinct().collect()]  # as many as the calendar has
+        wanted = F.col(year).isin([y for y in years if y is not None])
+        existing = existing.where(wanted | F.col(year).isNull() if None in years else wanted)
+    few = days.count() <= MAX_BROADCAST_DAYS
+    side = F.broadcast(days) if few else days
+    return existing.join(side, existing[date].eqNullSafe(side["day"]), "left_semi")
 
 
 def lookup(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -216,8 +216,11 @@ def relationship(child: DataFrame, table: str, key: str, parent: DataFrame, pare
     return counted.select(F.inline(F.array(_result(table, "relationship", key, F.col("v")))))
 
 
-def split_rejects(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows that fill all ``required`` columns, and the others with a reason naming the empty ones."""
-    reason = F.concat_ws(", ", *[F.when(F.col(c).isNull(), f"{c} is missing") for c in required])
-    accepted = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in required))
-    return df.where(accepted), df.where(~accepted).withColumn("reason", reason)
+def split_rejects(df: DataFrame, required: Sequence[str], types: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows that fill all ``required`` columns with values that fit ``types``, and the others with a reason."""
+    faults = {f"{c} is missing": F.col(c).isNull() for c in required}
+    for c, dtype in (types or {}).items():
+        faults[f"{c} does not fit {dtype}"] = F.col(c).isNotNull() & F.col(c).try_cast(dtype).isNull()
+    reason = F.concat_ws(", ", *[F.when(fault, text) for text, fault in faults.items()])
+    refused = reduce(lambda a, b: a | b, faults.values())
+    return df.where(~refused), df.where(refused).withColumn("reason", reason)

@@ -11,9 +11,6 @@ from ..functions.keys import hash_key, match_columns, row_fingerprint
 from ..schemas import COMMODITY_KEY, FACT_KEY, MARKET_KEY
 from .matching import lookup, unseen
 
-# A broadcast date dimension must stay a small table: a thousand years of days.
-MAX_BROADCAST_DAYS = 366_000
-
 
 def _calendar(days: DataFrame) -> DataFrame:
     """One row per date of ``days(full_date)`` with its parts."""

@@ -63,7 +63,7 @@ def month_over_month(df: DataFrame, commodity: str, label: str = "avg_maize_pric
         money_round(F.col("_mean")).alias(label),
         money_round(F.col("_prev")).alias("prev_price"),
         pct_change(F.col("_mean"), F.col("_prev")).alias("mom_pct_change"),
-    )
+    ).orderBy(F.col("county").asc_nulls_last(), F.col("year").asc_nulls_last(), F.col("month").asc_nulls_last())
 
 
 def snapshot(raw: DataFrame) -> DataFrame:

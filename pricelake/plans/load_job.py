@@ -1,32 +1,38 @@
 """The load job: files to raw, clean, gate, staging, dimensions, facts, view and marts.
 
-Every step can be run again: raw and rejects replace their own files, the others add unseen keys
-only. One writer at a time; Parquet tables have no unique index to stop two.
+Every step can be run again: raw rows and rejects come in by file, the others add unseen keys only. A file that was
+restated comes into raw beside its older rows; staging and facts keep the first version of a key, and the number of keys
+with another price is reported. One writer at a time; Parquet tables have no unique index to stop two.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Iterable
-from urllib.parse import unquote
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import quality, star
-from ..operators.cleaning import clean
-from ..operators.matching import between_dates_of, unseen
-from ..schemas import CLEAN_KEY, COMMODITY_KEY, MARKET_KEY, RAW_COLUMNS, STAGING_KEY
-from ..session import hand_off, tune
+from ..operators.cleaning import clean, counters
+from ..operators.matching import MAX_BROADCAST_DAYS, dates_of, on_dates, unseen
+from ..schemas import (
+    CLEAN_KEY, COMMODITY_KEY, FILE_KEY, MARKET_KEY, MIRROR_COLUMNS, PRICE, PRICE_COLUMNS, RAW_COLUMNS, STAGING_KEY,
+)
+from ..scratch import Scratch
+from ..session import tuned
 from ..sources import tables
-from ..sources.files import read_observations, resolve_source
+from ..sources.files import list_files, read_observations, resolve_source
 from ..sources.tables import Layers
+from . import data_tests
 from .clean_queries import mirrored
 from .load_log import file_stats
 from .marts import VIEW_FILTER, mart_monthly, mart_trend, staged, view_expressions
 
 log = logging.getLogger("pricelake.load")
 
-# Raw columns under which already cleaned frames may come back.
+# Raw columns under which already cleaned frames may come back.
 RAW_NAMES = {
     "county": "admin1", "district": "admin2", "source": "source_file", "price_kes": "price", "price_usd": "usdprice"
 }
@@ -36,28 +42,34 @@ def raw_shape(df: DataFrame) -> DataFrame:
     """Lower-case the header, go back to source names, keep the known columns that are present."""
     header = [c.strip().lower() for c in df.columns]
     renamed = df.toDF(*[RAW_NAMES.get(c, c) for c in header])
-    known = (*RAW_COLUMNS, "source_file", "row_seq")
+    known = (*RAW_COLUMNS, "source_file", *FILE_KEY, "row_seq")
     return renamed.select(*[c for c in known if c in renamed.columns])
 
 
-def load_raw(observed: DataFrame, layers: Layers) -> int:
-    """Rows per source file into the raw table; loading a file again replaces it."""
-    return tables.replace_files(raw_shape(observed), layers.raw)
+def load_raw(observed: DataFrame, layers: Layers, load_id: str, moment: datetime | None = None) -> int:
+    """Rows of files that are not in the raw table yet, under the load's id."""
+    return tables.append_files(raw_shape(observed), layers.raw, load_id, moment)
 
 
-def load_staging(cleaned: DataFrame, layers: Layers, incremental: bool = True, rebalance: bool = True) -> tuple[int, int]:
-    """Append unseen rows to staging; rows that miss a required value go to the rejects with a reason."""
-    spark = cleaned.sparkSession
-    accepted, rejected = staged(cleaned)
-    if incremental and not tables.is_empty(spark, layers.staging):
-        existing = between_dates_of(spark.table(layers.staging), accepted, "price_date", "year")
-        accepted = unseen(accepted, existing, STAGING_KEY)
-    added = tables.append_rows(accepted, layers.staging, rebalance_by="year" if rebalance else None)
-    refused = tables.replace_files(rejected, layers.rejects) if "source_file" in rejected.columns else 0
-    return added, refused
+def load_staging(
+    accepted: DataFrame, rejected: DataFrame, layers: Layers, load_id: str, days: DataFrame,
+    rebalance: bool = True, moment: datetime | None = None,
+) -> tuple[int, int]:
+    """Append unseen rows to staging, and the rejects of files that have none yet."""
+    existing = on_dates(accepted.sparkSession.table(layers.staging), days, "price_date", "year")
+    fresh = unseen(accepted, existing, STAGING_KEY)
+    added = tables.append_rows(fresh, layers.staging, rebalance_by="year" if rebalance else None, moment=moment)
+    return added, tables.append_files(rejected, layers.rejects, load_id, moment)
+
+
+def restated(accepted: DataFrame, layers: Layers, days: DataFrame) -> int:
+    """Keys of ``accepted`` that staging holds with another price: the first version stays, the count tells of it."""
+    held = on_dates(accepted.sparkSession.table(layers.staging), days, "price_date", "year").select(*STAGING_KEY, "price_kes")
+    changed = unseen(accepted.withColumn("price_kes", F.col("price_kes").cast(PRICE)), held, (*STAGING_KEY, "price_kes"))
+    return changed.select(*STAGING_KEY).distinct().count()
 
 
-def load_dimensions(rows: DataFrame, layers: Layers) -> dict[str, int]:
+def load_dimensions(rows: DataFrame, layers: Layers, moment: datetime | None = None) -> dict[str, int]:
     """Add members that are not there yet; existing members never change."""
     spark = rows.sparkSession
     added = {}
@@ -66,7 +78,7 @@ def load_dimensions(rows: DataFrame, layers: Layers) -> dict[str, int]:
         (layers.dim_commodity, COMMODITY_KEY, star.dim_commodity, "commodity_id"),
     ):
         fresh = star.new_members(build(rows), spark.table(name), key)
-        added[name] = tables.append_rows(fresh, name, stamp="created_at")
+        added[name] = tables.append_rows(fresh, name, stamp="created_at", moment=moment)
         clash = quality.unique(spark.table(name), name, [surrogate]).first()
         if not clash["passed"]:
             raise quality.QualityError(f"{name}: two members share a {surrogate}")
@@ -79,95 +91,121 @@ def load_dates(spark: SparkSession, layers: Layers, start: str, end: str) -> int
     return tables.append_rows(fresh, layers.dim_date, stamp=None)
 
 
-def load_facts(rows: DataFrame, layers: Layers, rebalance: bool = True) -> tuple[int, int]:
+def load_dates_of(days: DataFrame, layers: Layers) -> int:
+    """Add the whole years from the first to the last of ``days``."""
+    first, last = days.agg(F.min("day"), F.max("day")).first()
+    return load_dates(days.sparkSession, layers, f"{first.year:04}-01-01", f"{last.year:04}-12-31") if first else 0
+
+
+def load_facts(rows: DataFrame, layers: Layers, days: DataFrame, rebalance: bool = True, moment: datetime | None = None) -> tuple[int, int]:
     """Append unseen facts of the valid ``rows``; also returns how many fall outside the date dimension."""
     spark = rows.sparkSession
     dates = spark.table(layers.dim_date)
-    existing = spark.table(layers.fact)
-    span = rows.where("is_valid_price").agg(F.min("year"), F.max("year")).first()
-    if span[0] is not None:
-        existing = existing.where(F.col("year").between(span[0], span[1]))
+    known = dates.join(F.broadcast(days), dates["full_date"] == days["day"], "left_semi").select(F.col("full_date").alias("day"), "date_id")
+    years = [r[0] for r in days.select(F.year("day")).distinct().collect()]  # as many as the calendar has
+    existing = spark.table(layers.fact).where(F.col("year").isin([y for y in years if y is not None]))
+    existing = existing.join(F.broadcast(known.select("date_id")), "date_id", "left_semi")
     fresh = star.facts(
         rows,
         dates,
         spark.table(layers.dim_market),
         spark.table(layers.dim_commodity),
         existing=existing,
-        broadcast_dates=dates.count() <= star.MAX_BROADCAST_DAYS,
+        broadcast_dates=dates.count() <= MAX_BROADCAST_DAYS,
     )
     fresh = fresh.withColumn("year", F.floor(F.col("date_id") / 10000).cast("int"))
-    added = tables.append_rows(fresh, layers.fact, rebalance_by="year" if rebalance else None)
+    added = tables.append_rows(fresh, layers.fact, rebalance_by="year" if rebalance else None, moment=moment)
     outside = quality.relationship(rows.where("is_valid_price"), layers.staging, "price_date", dates, "full_date")
     return added, outside.first()["violations"]
 
 
-def load_mirror(accepted: DataFrame, layers: Layers) -> int:
-    """Append unseen rows to the second target under upper-case names, prices as DOUBLE."""
-    spark = accepted.sparkSession
-    wide = accepted.withColumnRenamed("price_date", "date").withColumns(
-        {c: F.col(c).cast("double") for c in ("price_kes", "price_usd", "price_per_kg") if c in accepted.columns}
-    )
-    rows = mirrored(wide)
+def mirror_shape(cleaned: DataFrame) -> DataFrame:
+    """The cleaned rows as the second target keeps them: its columns, upper-case names, prices as DOUBLE."""
+    wide = cleaned.withColumns({c: F.col(c).cast("double") for c in (*PRICE_COLUMNS, "price_per_kg") if c in cleaned.columns})
+    return mirrored(wide.select(*[c for c in MIRROR_COLUMNS if c in wide.columns]))
+
+
+def load_mirror(cleaned: DataFrame, layers: Layers, moment: datetime | None = None) -> int:
+    """Append unseen cleaned rows, rejected ones too, to the second target."""
+    spark = cleaned.sparkSession
+    rows = mirror_shape(cleaned)
     if spark.catalog.tableExists(layers.mirror):
         key = ["DATE" if k == "price_date" else k.upper() for k in STAGING_KEY]
-        existing = between_dates_of(spark.table(layers.mirror), rows, "DATE", "YEAR")
-        rows = unseen(rows, existing, key)
-        return tables.append_rows(rows, layers.mirror, stamp="LOADED_AT")
+        existing = on_dates(spark.table(layers.mirror), dates_of(rows, "DATE"), "DATE", "YEAR")
+        return tables.append_rows(unseen(rows, existing, key), layers.mirror, stamp="LOADED_AT", moment=moment)
     columns = [c for c in rows.columns if c != "YEAR"]
-    stamped = rows.select(*columns, F.localtimestamp().alias("LOADED_AT"), "YEAR")
-    watched, seen = tables.counted(stamped)
+    stamp = F.lit(moment).cast("timestamp_ntz") if moment else F.localtimestamp()
+    watched, seen = tables.counted(rows.select(*columns, stamp.alias("LOADED_AT"), "YEAR"))
     watched.write.format("parquet").partitionBy("YEAR").saveAsTable(layers.mirror)
     return seen.get["rows"]
 
 
 def build_marts(spark: SparkSession, layers: Layers, pattern: str = "%maize%") -> dict[str, int]:
-    """Publish the view, then the monthly mart, then the trend mart from the stored monthly mart."""
+    """The view, and new versions of the marts that pass all data tests before readers see them."""
     tables.publish_view(spark, layers.view, layers.staging, view_expressions(), VIEW_FILTER)
-    monthly = tables.publish_table(
-        mart_monthly(spark.table(layers.view)), layers.monthly, ("year", "month", "county", "commodity")
-    )
-    trend = tables.publish_table(mart_trend(monthly, pattern), layers.trend, ("county", "year", "month"))
-    return {layers.monthly: monthly.count(), layers.trend: trend.count()}
+    monthly = tables.write_version(mart_monthly(spark.table(layers.view)), layers.monthly, ("year", "month", "county", "commodity"))
+    trend = tables.write_version(mart_trend(spark.table(monthly), pattern), layers.trend, ("county", "year", "month"))
+    try:
+        data_tests.check(data_tests.published(spark, layers, monthly, trend))
+    except quality.QualityError:
+        for version in (monthly, trend):
+            spark.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    return {name: tables.switch(spark, name, version).count() for name, version in ((layers.monthly, monthly), (layers.trend, trend))}
 
 
 def load_batch(
-    observed: DataFrame,
+    spark: SparkSession,
+    path: str | list[str],
     layers: Layers,
-    dates: tuple[str, str],
+    dates: tuple[str, str] | None = None,
     keys: Iterable[str] = CLEAN_KEY,
     mirror: bool = False,
     rebalance: bool = True,
 ) -> dict:
     """Raw, clean, gate, staging, dimensions, facts and the load record for some source files.
 
-    Nothing is written to staging or beyond when a critical check fails.
+    Nothing is written to staging or beyond when a critical check fails. The date dimension grows with the accepted
+    rows; with ``dates`` it holds that range, and valid rows outside it are counted and left out of the facts.
     """
-    spark = observed.sparkSession
-    load_dates(spark, layers, *dates)
-    counts: dict = {"raw": load_raw(observed, layers)}
-
-    # From here on the stored raw rows of these files are the input: the text is parsed once.
-    names = [unquote(file.rsplit("/", 1)[-1]) for file in observed.inputFiles()]
-    raw = spark.table(layers.raw).where(F.col("source_file").isin(names))
-    cleaned = hand_off(clean(raw.drop("loaded_at"), keys=keys).drop("row_seq"), "cleaned")
-    counts["checks"] = quality.gate(quality.report(cleaned))
-
-    accepted, _ = staged(cleaned)
-    counts["staging"], counts["rejects"] = load_staging(cleaned, layers, rebalance=rebalance)
-    # Dimensions and facts come from the stored rows of this load's dates, whoever wrote them: a run
-    # that was lost after staging is completed by the next one.
-    stored = between_dates_of(spark.table(layers.staging), accepted, "price_date", "year")
-    counts["dimensions"] = load_dimensions(stored, layers)
-    counts["facts"], counts["outside_dates"] = load_facts(stored, layers, rebalance=rebalance)
-    if counts["outside_dates"]:
-        log.warning("%d valid rows lie outside the date dimension", counts["outside_dates"])
-    if mirror:
-        try:
-            counts["mirror"] = load_mirror(accepted, layers)
-        except Exception as error:  # the second target must not fail the load
-            log.warning("mirror failed: %s", error)
-            counts["mirror"] = None
-    tables.append_rows(file_stats(cleaned), layers.metadata)
+    moment = tables.now(spark)
+    load_id = f"{moment:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    counts: dict = {"load_id": load_id, "raw": load_raw(read_observations(spark, path), layers, load_id, moment)}
+
+    with Scratch(spark) as scratch:
+        # From here on the stored raw rows of these files are the input: the text is parsed once.
+        files = list_files(spark, path)
+        raw = spark.table(layers.raw)
+        raw = raw.join(files, on=[raw[c] == files[c] for c in FILE_KEY], how="left_semi").drop("loaded_at", "load_id")
+        cleaned = scratch.store(clean(raw, keys=keys).drop("row_seq"), "cleaned")
+        counts["checks"] = quality.gate(quality.report(cleaned))
+
+        accepted, rejected = staged(cleaned, FILE_KEY)
+        days = scratch.store(dates_of(accepted, "price_date"), "days")
+        if dates:
+            load_dates(spark, layers, *dates)
+        else:
+            load_dates_of(days, layers)
+        counts["staging"], counts["rejects"] = load_staging(accepted, rejected, layers, load_id, days, rebalance, moment)
+        counts["restated"] = restated(accepted, layers, days)
+        if counts["restated"]:
+            log.warning("%d keys are in staging with another price; the first version stays", counts["restated"])
+        # Dimensions and facts come from the stored rows of this load's dates, whoever wrote them: a run
+        # that was lost after staging is completed by the next one.
+        stored = on_dates(spark.table(layers.staging), days, "price_date", "year")
+        counts["dimensions"] = load_dimensions(stored, layers, moment)
+        counts["facts"], counts["outside_dates"] = load_facts(stored, layers, days, rebalance, moment)
+        if counts["outside_dates"]:
+            log.warning("%d valid rows lie outside the date dimension", counts["outside_dates"])
+        if mirror:
+            try:
+                counts["mirror"] = load_mirror(cleaned, layers, moment)
+            except Exception as error:  # the second target must not fail the load
+                log.warning("mirror failed: %s", error)
+                counts["mirror"] = None
+        taken = {r["counter"]: r["rows"] for r in counters(raw, keys).collect()}  # a row per counter
+        tables.append_rows(file_stats(cleaned, checks=counts["checks"], counters=taken), layers.metadata, moment=moment)
+        counts["cleaning"] = taken
     return counts
 
 
@@ -175,7 +213,7 @@ def run_load(
     spark: SparkSession,
     source: str | None = None,
     layers: Layers = Layers(),
-    dates: tuple[str, str] = ("2006-01-01", "2026-12-31"),
+    dates: tuple[str, str] | None = None,
     keys: Iterable[str] = CLEAN_KEY,
     mirror: bool = False,
     trend_pattern: str = "%maize%",
@@ -184,7 +222,8 @@ def run_load(
 ) -> dict:
     """Load one source from end to end and rebuild the marts; returns the counts of every step."""
     path = resolve_source(spark, source, default=default_source)
-    tables.ensure_tables(tune(spark), layers)
-    counts = load_batch(read_observations(spark, path), layers, dates, keys, mirror, rebalance)
-    counts["marts"] = build_marts(spark, layers, trend_pattern)
+    with tuned(spark):
+        tables.ensure_tables(spark, layers)
+        counts = load_batch(spark, path, layers, dates, keys, mirror, rebalance)
+        counts["marts"] = build_marts(spark, layers, trend_pattern)
     return counts

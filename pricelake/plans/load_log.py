@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def file_stats(cleaned: DataFrame, file: str = "source_file") -> DataFrame:
-    """file_name and ``stats``, a variant with the row counts and an array of quality notes."""
+def file_stats(
+    cleaned: DataFrame, file: str = "source_file", checks: Iterable = (), counters: Mapping[str, int] | None = None
+) -> DataFrame:
+    """file_name and ``stats``, a variant with the row counts and an array of quality notes.
+
+    ``checks`` (rows of the quality report) and ``counters`` are of the whole load; the record of every file holds them.
+    """
     counts = cleaned.groupBy(F.col(file).alias("file_name")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("date").isNull()).alias("no_date"),
@@ -25,7 +32,14 @@ def file_stats(cleaned: DataFrame, file: str = "source_file") -> DataFrame:
             note("rows without a price", "no_price"),
         )
     )
-    record = F.struct("rows", "valid", notes.alias("quality_notes"))
+    of_load = []
+    if checks:
+        fields = ("name", "status", "level", "detail", "value")
+        made = [F.struct(*[F.lit(r[f]).cast("string").alias(f) for f in fields]) for r in checks]
+        of_load.append(F.array(*made).alias("checks"))
+    if counters:
+        of_load.append(F.struct(*[F.lit(n).alias(name) for name, n in counters.items()]).alias("cleaning"))
+    record = F.struct("rows", "valid", notes.alias("quality_notes"), *of_load)
     return counts.select("file_name", F.parse_json(F.to_json(record)).alias("stats"))
 
 

@@ -10,10 +10,11 @@ from ..functions.amounts import money_round, pct_change
 from ..functions.dates import month_start
 from ..operators.quality import split_rejects
 from ..operators.windows import previous_value, previous_value_split
-from ..schemas import MONTHLY_KEY, STAGING_REQUIRED, STAGING_TABLE
+from ..schemas import MONTHLY_KEY, PRICE, PRICE_COLUMNS, STAGING_REQUIRED, STAGING_TABLE
 
 # What a missing county, district and category is called in the view.
 VIEW_DEFAULTS = {"county": "Unknown", "district": "Unknown", "category": "Uncategorized"}
+# The view's columns and which rows it shows.
 VIEW_COLUMNS = (
     "date", "year", "month", "county", "district", "market", "category", "commodity", "unit",
     "pricetype", "currency", "price_kes", "price_usd", "price_per_kg", "is_valid_price",
@@ -23,11 +24,13 @@ VIEW_FILTER = (
 )
 
 
-def staged(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Cleaned rows in staging shape, split into accepted rows and rejects."""
-    known = [f.name for f in STAGING_TABLE.fields if f.name != "loaded_at"]
+def staged(cleaned: DataFrame, carried: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Cleaned rows in staging shape with the ``carried`` columns, split into accepted rows and rejects."""
+    known = [*[f.name for f in STAGING_TABLE.fields if f.name != "loaded_at"], *carried]
     renamed = cleaned.withColumnRenamed("date", "price_date")
-    return split_rejects(renamed.select(*[c for c in known if c in renamed.columns]), STAGING_REQUIRED)
+    shaped = renamed.select(*[c for c in known if c in renamed.columns])
+    prices = {c: PRICE for c in (*PRICE_COLUMNS, "price_per_kg") if c in shaped.columns}
+    return split_rejects(shaped, STAGING_REQUIRED, prices)
 
 
 def view_expressions() -> list[str]:

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .functions.dates import month_start
 from .operators import cleaning, quality, star
-from .operators.matching import unseen
-from .plans import clean_queries, dashboards, load_log, marts, raw_queries
-from .plans.load_job import raw_shape
+from .operators.matching import dates_of, on_dates, unseen
+from .plans import clean_queries, dashboards, data_tests, load_log, marts, raw_queries
+from .plans.load_job import mirror_shape, raw_shape
 from .schemas import (
-    CLEAN_NAMES, COMMODITY_KEY, FACT_KEY, MARKET_KEY, MONTHLY_KEY, RAW_COLUMNS, STAGING_KEY,
+    CLEAN_KEY, CLEAN_NAMES, COMMODITY_KEY, FACT_KEY, FILE_KEY, MARKET_KEY, MONTHLY_KEY, RAW_COLUMNS, STAGING_KEY,
 )
-from .session import hand_off, tune
+from .scratch import Scratch
+from .session import CODE_LIMIT
 from .sources import sample_tables
 from .sources.tables import as_of
 
@@ -34,15 +35,24 @@ ORDER = list(sample_tables.ORDERING)
 class Inputs:
     """The stages over one data folder; each is lazy, and Catalyst prunes what a query does not use."""
 
-    def __init__(self, spark: SparkSession, folder: str, store: bool = False):
-        self.spark, self.folder, self.store = spark, folder, store
+    def __init__(self, spark: SparkSession, folder: str, odd: bool = False):
+        self.spark, self.folder, self.odd = spark, folder, odd
+        self.scratch: Scratch | None = None
+
+    def keep(self) -> Inputs:
+        """From now on, shared stages are written once, as the load does: for queries that read them several times."""
+        self.scratch = Scratch(self.spark)
+        return self
+
+    def _shared(self, df: DataFrame, name: str) -> DataFrame:
+        return self.scratch.store(df, name) if self.scratch else df
 
     def table(self, name: str) -> DataFrame:
         return sample_tables.table(self.spark, self.folder, name)
 
     @cached_property
     def scanned(self) -> DataFrame:
-        return sample_tables.scanned(self.spark, self.folder)
+        return sample_tables.scanned(self.spark, self.folder, odd=self.odd)
 
     @cached_property
     def typed(self) -> DataFrame:
@@ -61,13 +71,8 @@ class Inputs:
         return marts.staged(self.cleaned)[0]
 
     @cached_property
-    def stored(self) -> DataFrame:
-        """Staged rows written once, as the load does, for queries that read them several times."""
-        return hand_off(self.staged, "staged")
-
-    @property
     def source(self) -> DataFrame:
-        return self.stored if self.store else self.staged
+        return self._shared(self.staged, "staged")
 
     @cached_property
     def rejects(self) -> DataFrame:
@@ -79,7 +84,7 @@ class Inputs:
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return marts.mart_monthly(self.view)
+        return self._shared(marts.mart_monthly(self.view), "monthly")
 
     @cached_property
     def trend(self) -> DataFrame:
@@ -91,15 +96,15 @@ class Inputs:
 
     @cached_property
     def markets(self) -> DataFrame:
-        return star.dim_market(self.source)
+        return self._shared(star.dim_market(self.source), "markets")
 
     @cached_property
     def commodities(self) -> DataFrame:
-        return star.dim_commodity(self.source)
+        return self._shared(star.dim_commodity(self.source), "commodities")
 
     @cached_property
     def facts(self) -> DataFrame:
-        return star.facts(self.source, self.dates, self.markets, self.commodities)
+        return self._shared(star.facts(self.source, self.dates, self.markets, self.commodities), "facts")
 
     @cached_property
     def first_load(self) -> DataFrame:
@@ -107,10 +112,6 @@ class Inputs:
         return self.source.where(F.col("price_date") < F.lit(FIRST_LOAD_BEFORE))
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def _two_loads(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.withColumn("load_no", F.lit(1)).unionByName(second.withColumn("load_no", F.lit(2)))
 
@@ -187,35 +188,48 @@ def orders_monthly(x: Inputs) -> DataFrame:
 
 
 def mirror_upper(x: Inputs) -> DataFrame:
-    columns = (
-        "date", "year", "month", "county", "district", "market", "category", "commodity", "unit",
-        "pricetype", "currency", "price_kes", "price_usd", "price_per_kg", "is_valid_price",
-    )
-    return clean_queries.mirrored(x.cleaned.select(*columns))
+    return mirror_shape(x.cleaned)
 
 
 def staging_incremental(x: Inputs) -> DataFrame:
-    return _two_loads(x.first_load, unseen(x.source, x.first_load, STAGING_KEY)).select(
+    x.keep()
+    held = on_dates(x.first_load, dates_of(x.source, "price_date"), "price_date")
+    return _two_loads(x.first_load, unseen(x.source, held, STAGING_KEY)).select(
         "load_no", *STAGING_KEY, "county", "district", "price_kes", "price_usd", "price_per_kg", "is_valid_price"
     )
 
 
+def raw_by_file(x: Inputs) -> DataFrame:
+    """Raw rows per file: files of equal name in a folder per year, half of them in a first load and all in a second."""
+    path = F.concat(F.lit("/prices/"), F.coalesce(F.substring("date", 1, 4), F.lit("none")), F.lit("/prices.csv"))
+    rows = raw_shape(x.scanned.withColumns({"source_path": path, "file_time": F.lit("2024-01-01").cast("timestamp")}))
+    first = rows.where(F.col("source_path") < "/prices/1996")
+    return _two_loads(first, unseen(rows, first, FILE_KEY)).groupBy("load_no", "source_path").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _market_loads(x: Inputs) -> tuple[DataFrame, DataFrame]:
     first = star.dim_market(x.first_load)
     return first, star.new_members(x.markets, first, MARKET_KEY)
 
 
 def dim_market_incremental(x: Inputs) -> DataFrame:
+    x.keep()
     return _two_loads(*_market_loads(x))
 
 
 def dim_commodity_incremental(x: Inputs) -> DataFrame:
+    x.keep()
     first = star.dim_commodity(x.first_load)
     return _two_loads(first, star.new_members(x.commodities, first, COMMODITY_KEY))
 
 
+def load_fact(x: Inputs) -> DataFrame:
+    return star.with_fact_id(x.keep().facts)
+
+
 def fact_incremental(x: Inputs) -> DataFrame:
-    first = star.facts(x.first_load, x.dates, x.markets, x.commodities)
+    x.keep()
+    first = x.scratch.store(star.facts(x.first_load, x.dates, x.markets, x.commodities), "first-facts")
     second = star.facts(x.source, x.dates, x.markets, x.commodities, existing=first)
     return _two_loads(first, second)
 
@@ -249,39 +263,27 @@ def price_band(x: Inputs) -> DataFrame:
     return dashboards.price_bands(dashboards.average_by_commodity(x.monthly))
 
 
-def _staging_tests() -> list[quality.ColumnTest]:
-    keys = [quality.not_null(c) for c in ("price_date", "market", "commodity")]
-    return [*keys, quality.not_null("price_kes", where=F.col("is_valid_price"))]
+def clean_counters(x: Inputs) -> DataFrame:
+    return cleaning.counters(x.scanned)
 
 
 def _test_not_null(x: Inputs) -> DataFrame:
-    def tests(df: DataFrame, table: str, columns: tuple[str, ...]) -> DataFrame:
-        return quality.column_tests(df, table, [quality.not_null(c) for c in columns])
-
-    monthly = ("year", "month", "county", "commodity", "avg_price_kes", "num_observations")
-    return _union(
-        [
-            quality.column_tests(x.source, "staging", _staging_tests()),
-            tests(x.view, "view", ("date", "market", "commodity", "price_kes")),
-            tests(x.monthly, "monthly", monthly),
-            tests(x.trend, "trend", ("year", "county", "maize_price_kes")),
-        ]
-    )
+    x.keep()
+    tests = [data_tests.staging_tests(x.source), data_tests.view_tests(x.view), data_tests.monthly_tests(x.monthly), data_tests.trend_tests(x.trend)]
+    return data_tests.union(tests).where("test = 'not_null'")
 
 
 def _test_accepted_range(x: Inputs) -> DataFrame:
-    def positive(df: DataFrame, table: str, column: str) -> DataFrame:
-        return quality.column_tests(df, table, [quality.accepted_range(column, low=0, inclusive=False)])
-
-    return positive(x.view, "view", "price_kes").unionByName(positive(x.monthly, "monthly", "avg_price_kes"))
+    return data_tests.view_tests(x.keep().view).unionByName(data_tests.monthly_tests(x.monthly)).where("test = 'accepted_range'")
 
 
 def _test_accepted_values(x: Inputs) -> DataFrame:
-    return quality.column_tests(x.monthly, "monthly", [quality.accepted_values("month", range(1, 13))])
+    return data_tests.monthly_tests(x.monthly).where("test = 'accepted_values'")
 
 
 def _test_unique(x: Inputs) -> DataFrame:
-    return _union(
+    x.keep()
+    return data_tests.union(
         [
             quality.unique(x.source, "staging", STAGING_KEY),
             quality.unique(x.markets, "dim_market", MARKET_KEY),
@@ -295,7 +297,8 @@ def _test_unique(x: Inputs) -> DataFrame:
 
 
 def _test_relationship(x: Inputs) -> DataFrame:
-    return _union(
+    x.keep()
+    return data_tests.union(
         [
             quality.relationship(x.facts, "fact", "date_id", x.dates, "date_id"),
             quality.relationship(x.facts, "fact", "market_id", x.markets, "market_id"),
@@ -304,22 +307,63 @@ def _test_relationship(x: Inputs) -> DataFrame:
     )
 
 
+# The same tests over rows that break them: before rows are refused, merged or joined.
+
+
+def _broken_columns(x: Inputs) -> DataFrame:
+    tests = [quality.not_null(c) for c in ("date", "market", "commodity", "price_kes", "unit")]
+    tests += [quality.accepted_range("price_kes", low=0, inclusive=False), quality.accepted_range("year", low=1994, high=1996)]
+    return quality.column_tests(x.standard, "standard", [*tests, quality.accepted_values("month", range(2, 12))])
+
+
+def _broken_keys(x: Inputs) -> DataFrame:
+    return quality.unique(x.standard, "standard", CLEAN_KEY).unionByName(quality.unique(x.standard, "standard", ("market", "unit")))
+
+
+def _broken_relationship(x: Inputs) -> DataFrame:
+    """Facts against a date dimension that starts late and a market dimension that misses members."""
+    x.keep()
+    dates = x.dates.where(F.col("full_date") >= F.lit(FIRST_LOAD_BEFORE))
+    markets = x.markets.where(F.col("source_market_id") % 5 != 0)
+    return data_tests.union(
+        [
+            quality.relationship(x.facts, "fact", "date_id", dates, "date_id"),
+            quality.relationship(x.facts, "fact", "market_id", markets, "market_id"),
+        ]
+    )
+
+
+def _odd(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+    """A query over the observations with negative and too large prices and ids that are no whole numbers."""
+    return lambda x: build(Inputs(x.spark, x.folder, odd=True))
+
+
+def staging_rejects(x: Inputs) -> DataFrame:
+    return x.rejects.select("price_date", "market", "commodity", "unit", "pricetype", "reason")
+
+
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # scan, clean
     "scan_obs": lambda x: x.scanned,
     "load_raw": load_raw,
+    "raw_by_file": raw_by_file,
     "clean_rename": clean_rename,
     "clean_dates": clean_dates,
     "clean_strings": clean_strings,
     "clean_prices": clean_prices,
     "clean_derive": clean_derive,
+    "clean_prices_odd": _odd(clean_prices),
+    "clean_derive_odd": _odd(clean_derive),
+    "clean_counters": clean_counters,
+    "clean_counters_odd": _odd(clean_counters),
     "unit_price": unit_price,
     "flag_valid": flag_valid,
     "clean_dedup": clean_dedup,
     "clean_full": clean_full,
     "valid_counts": lambda x: clean_queries.valid_counts(x.cleaned),
     # staging, marts
-    "staging_rejects": lambda x: x.rejects.select("price_date", "market", "commodity", "unit", "pricetype", "reason"),
+    "staging_rejects": staging_rejects,
+    "staging_rejects_odd": _odd(staging_rejects),
     "staging_incremental": staging_incremental,
     "mirror_upper": mirror_upper,
     "stg_view": valid_rows,
@@ -334,7 +378,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dim_market_incremental": dim_market_incremental,
     "dim_commodity": lambda x: x.commodities,
     "dim_commodity_incremental": dim_commodity_incremental,
-    "load_fact": lambda x: star.with_fact_id(x.facts),
+    "load_fact": load_fact,
     "fact_incremental": fact_incremental,
     # raw queries
     "q1_latest_prices": lambda x: raw_queries.latest_prices(x.typed, MARKET_TEXT),
@@ -376,13 +420,10 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "test_accepted_values": _test_accepted_values,
     "test_unique": _test_unique,
     "test_relationship": _test_relationship,
-}
-
-
-# Queries that read the staged rows several times; they clean once and store the result.
-STORED = {
-    "staging_incremental", "dim_market_incremental", "dim_commodity_incremental", "load_fact", "fact_incremental",
-    "test_not_null", "test_accepted_range", "test_unique", "test_relationship",
+    "broken_columns": _odd(_broken_columns),
+    "broken_keys": _broken_keys,
+    "broken_relationship": _broken_relationship,
+    "quality_report_broken": _odd(lambda x: quality.report(x.standard)),
 }
 
 
@@ -393,4 +434,5 @@ def output(df: DataFrame) -> DataFrame:
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return output(QUERIES[name](Inputs(tune(spark), folder, name in STORED)))
+    spark.conf.set(*CODE_LIMIT)  # read when the result is run, so after this function
+    return output(QUERIES[name](Inputs(spark, folder)))

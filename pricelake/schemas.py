@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 PRICE = "decimal(12,4)"
+# Prices while they are cleaned: no number of a file is lost because the table could not hold it.
+WIDE_PRICE = "decimal(28,4)"
 COORDINATE = "decimal(10,6)"
 
 # Input header, in file order.
@@ -35,12 +37,18 @@ NULL_TEXTS = ("nan", "None", "")
 # Kilograms per unit, by lower-case unit name.
 UNIT_KILOGRAMS = {"kg": 1, "1 kg": 1, "100 kg": 100, "90 kg": 90, "50 kg": 50, "25 kg": 25, "2 kg": 2}
 
+# Columns by kind, and the keys of the tables.
 NAME_COLUMNS = ("county", "district", "market", "commodity", "category")
 CODE_COLUMNS = ("unit", "priceflag", "pricetype", "currency")
 PRICE_COLUMNS = ("price_kes", "price_usd")
 
 CLEAN_KEY = ("date", "market", "commodity", "pricetype")
 STAGING_KEY = ("price_date", "market", "commodity", "unit", "pricetype")
+# Columns of the second target, before their names go to upper case.
+MIRROR_COLUMNS = (
+    "date", "year", "month", "county", "district", "market", "category", "commodity", "unit", "pricetype", "currency",
+    "price_kes", "price_usd", "price_per_kg", "is_valid_price",
+)
 STAGING_REQUIRED = ("price_date", "year", "month", "market", "commodity")
 MARKET_KEY = ("market_name", "district", "county")
 COMMODITY_KEY = ("commodity_name", "unit")
@@ -55,8 +63,12 @@ def _table(columns: dict[str, str]) -> T.StructType:
     return schema
 
 
-RAW_TABLE = _table({c: "string" for c in RAW_COLUMNS} | {"source_file": "string", "loaded_at": "timestamp_ntz"})
+# A file is known by its full path and the time it was last written: names repeat from folder to folder.
+FILE_KEY = ("source_path", "file_time")
+_FILE = {"source_path": "string", "file_time": "timestamp"}
+RAW_TABLE = _table({c: "string" for c in RAW_COLUMNS} | {"source_file": "string"} | _FILE | {"loaded_at": "timestamp_ntz"})
 
+# Names and types of the stored tables.
 _STAGED = {
     "price_date": "date",
     "month": "integer",
@@ -82,7 +94,9 @@ _STAGED = {
 _STAMPED = {"loaded_at": "timestamp_ntz", "year": "integer"}
 
 STAGING_TABLE = _table(_STAGED | _STAMPED)
-REJECTS_TABLE = _table(_STAGED | {"reason": "string"} | _STAMPED)
+REJECTS_TABLE = _table(
+    _STAGED | {c: WIDE_PRICE for c in (*PRICE_COLUMNS, "price_per_kg")} | {"reason": "string"} | _FILE | _STAMPED
+)
 
 DIM_MARKET_TABLE = _table(
     {

@@ -3,23 +3,15 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. A single-process session without one gets a folder of its own."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, one beside the tables of the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if context.master.partition("[")[0] != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="pricelake-"))
-    return context.getCheckpointDir().rstrip("/")
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 class Scratch:

@@ -1,11 +1,11 @@
-"""Session settings for our own runs, and the shared folder used to cut lineage."""
+"""Session settings for our own runs."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,34 +31,12 @@ def build_session(app: str = "pricelake", cores: str = "*", shuffle_partitions:
     return spark
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Set what the cleaning plans need on a session that somebody else built."""
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[SparkSession]:
+    """Set what the cleaning plans need for the length of a job, then put the caller's setting back."""
+    before = spark.conf.get(CODE_LIMIT[0], None)
     spark.conf.set(*CODE_LIMIT)
-    return spark
-
-
-_local_folder: str | None = None
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a scratch folder only for a local master."""
-    global _local_folder
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="pricelake-")
-    return _local_folder
-
-
-def hand_off(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as typed Parquet in the shared folder and read it back.
-
-    Later stages read columns from the files, so a lost executor never replays the stages before.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield spark
+    finally:
+        spark.conf.unset(CODE_LIMIT[0]) if before is None else spark.conf.set(CODE_LIMIT[0], before)

@@ -6,7 +6,7 @@ import os
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import missing_to_null
 from ..schemas import MISSING_TOKENS
@@ -43,18 +43,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-# An unsplittable input is at most one large file piece: more parts than this would be too small.
-MAX_PIECES = 64
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out if the input comes in fewer pieces than there are cores.
+    """Deal the rows out over all cores: for inputs that cannot be split, such as one Parquet row group or a zipped CSV.
 
-    Meant for inputs that cannot be split, such as one small Parquet row group or a zipped CSV; an
-    input with enough splits is left alone and not shuffled.
+    It costs a shuffle, so leave it out where the input has splits enough.
     """
-    pieces = min(df.sparkSession.sparkContext.defaultParallelism, MAX_PIECES)
-    return df.repartition(pieces) if df.rdd.getNumPartitions() < pieces else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def blank_missing(df: DataFrame, tokens: Iterable[str] = MISSING_TOKENS) -> DataFrame:
@@ -75,28 +69,42 @@ def read_observations(
     ``header`` defaults to the first line found (one line is read); files whose header differs fail
     instead of shifting columns. One record per line lets big files split over many tasks; set
     ``multi_line`` for quoted line breaks, at the price of one task per file. Adds the lineage
-    column ``source_file`` and ``row_seq``, which orders rows as written: file time, file name,
-    block, position in the block.
+    columns ``source_file``, ``source_path`` and ``file_time``, and ``row_seq``, which orders rows as written: file time,
+    path, block, position in the block.
     """
     reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
     columns = list(header) if header else reader.csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = reader.option("enforceSchema", False).schema(schema).csv(path)
-    # The metadata column holds the name as in a URL, where a plus sign stands for itself.
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    name, path_, time = _file_columns()
     sequence = F.struct(
-        F.col("_metadata.file_modification_time").alias("file_time"),
-        name.alias("file"),
+        time.alias("file_time"),
+        path_.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
     )
     return df.select(
         *[missing_to_null(F.col(f"`{c}`"), tokens).alias(c) for c in columns],
         name.alias("source_file"),
+        path_.alias("source_path"),
+        time.alias("file_time"),
         sequence.alias("row_seq"),
     )
 
 
+def _file_columns() -> tuple[Column, Column, Column]:
+    # The metadata columns hold names as in a URL, where a plus sign stands for itself.
+    decoded = [F.url_decode(F.replace(F.col(f"_metadata.{c}"), F.lit("+"), F.lit("%2B"))) for c in ("file_name", "file_path")]
+    return *decoded, F.col("_metadata.file_modification_time")
+
+
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``source_path`` and ``file_time`` of the files under a path, listed by Spark; their content is not read."""
+    listed = spark.read.format("binaryFile").load(path)
+    _, source, time = _file_columns()
+    return listed.select(source.alias("source_path"), time.alias("file_time"))
+
+
 def land_copy(df: DataFrame, folder: str, load_date: str) -> str:
     """Keep a dated raw copy as Parquet; a repeated load replaces its own date only."""
     target = f"{folder.rstrip('/')}/load_date={load_date}"

@@ -28,18 +28,16 @@ def read_keys(
     url: str,
     table: str,
     keys: Iterable[str],
-    years: Iterable[int] = (),
+    years: Iterable[int],
     date: str = "price_date",
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Only the key columns, one query per year so that no single task reads the whole table.
 
-    Give the years of the incoming rows: the date is part of the key, so other years cannot match.
+    Give the years of the incoming rows: the date is part of the key, so other years cannot match. Without any year there
+    is nothing to match, and nothing is read.
     """
     predicates = [f"{date} >= DATE '{y}-01-01' AND {date} < DATE '{y + 1}-01-01'" for y in sorted(set(years))]
     options = dict(properties or {})
-    if predicates:
-        df = spark.read.jdbc(url, table, predicates=predicates, properties=options)
-    else:
-        df = spark.read.jdbc(url, table, properties=options)
+    df = spark.read.jdbc(url, table, predicates=predicates or ["1 = 0"], properties=options)
     return df.select(*keys)

@@ -22,8 +22,16 @@ def _every(column: str, step: int) -> Column:
     return F.col(column) % step == 0
 
 
-def observations(spark: SparkSession, folder: str, source_file: bool = False) -> DataFrame:
-    """The 16 input columns as text, plus the four columns that give the row order."""
+def _id_text(column: str) -> Column:
+    """An id as text; some have been through a float."""
+    return F.concat(F.col(column).cast("string"), F.when(_every(column, 7), ".0").otherwise(""))
+
+
+def observations(spark: SparkSession, folder: str, source_file: bool = False, odd: bool = False) -> DataFrame:
+    """The 16 input columns as text, plus the four columns that give the row order.
+
+    ``odd`` adds prices that are negative or too large for the tables, and ids that are no whole numbers.
+    """
     items = table(spark, folder, "lineitem")
     if source_file:
         items = items.select("*", F.col("_metadata.file_name").alias("source_file"))
@@ -53,12 +61,12 @@ def observations(spark: SparkSession, folder: str, source_file: bool = False) ->
         ),
         "admin2": F.when(~_every("l_suppkey", 13), F.concat("r_name", F.lit("   (sub) "))),
         "market": F.when(~_every("l_orderkey", 401), F.concat(F.lit("  "), "s_name", F.lit(" town's  mkt"))),
-        "market_id": F.col("l_suppkey"),
+        "market_id": _id_text("l_suppkey"),
         "latitude": coordinate(180),
         "longitude": coordinate(360),
         "category": F.when(_every("l_partkey", 19), "").otherwise(F.col("p_type")),
         "commodity": F.concat(F.lit(" "), "p_name", F.lit("  (white) ")),
-        "commodity_id": F.col("l_partkey"),
+        "commodity_id": _id_text("l_partkey"),
         "unit": unit,
         "priceflag": F.when(F.col("l_linestatus") == "O", "actual").otherwise("aggregate"),
         "pricetype": F.when(F.col("l_returnflag") == "A", "Retail")
@@ -76,10 +84,18 @@ def observations(spark: SparkSession, folder: str, source_file: bool = False) ->
             .cast("string"),
         ),
     }
+    if odd:
+        price = F.col("l_extendedprice").cast("decimal(12,4)")
+        columns["price"] = (
+            F.when(_every("l_orderkey", 13), (price * 100000).cast("decimal(28,4)").cast("string"))
+            .when(_every("l_orderkey", 11), (-price).cast("string"))
+            .otherwise(columns["price"])
+        )
+        columns["market_id"] = F.when(_every("l_orderkey", 5), F.concat(F.col("l_suppkey").cast("string"), F.lit(".5"))).otherwise(columns["market_id"])
     extra = ["source_file"] if source_file else []
     return joined.select(*ORDERING, *[columns[c].alias(c) for c in RAW_COLUMNS], *extra)
 
 
-def scanned(spark: SparkSession, folder: str, source_file: bool = False) -> DataFrame:
+def scanned(spark: SparkSession, folder: str, source_file: bool = False, odd: bool = False) -> DataFrame:
     """The observations as a file scan gives them: missing-value tokens are NULL."""
-    return blank_missing(observations(spark, folder, source_file))
+    return blank_missing(observations(spark, folder, source_file, odd))

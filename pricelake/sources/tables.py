@@ -1,10 +1,11 @@
-"""Layered Parquet tables: create, reset, append, replace by file, publish views and marts."""
+"""Layered Parquet tables: create, reset, append, append by file, publish views and marts."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -74,25 +75,20 @@ class Layers:
         return [f"{self.prefix}{d}" for d in ("raw", "staging", "warehouse", "analytics", "marts", "mirror")]
 
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
 # The row order inside the raw files, kept with the raw rows so that cleaning reads the table only.
 ROW_SEQ = T.StructType().add("file_time", "timestamp").add("file", "string").add("block", "long").add("position", "long")
-RAW_STORED = T.StructType(
-    [*[f for f in S.RAW_TABLE.fields if f.name != "source_file"], T.StructField("row_seq", ROW_SEQ),
-     S.RAW_TABLE["source_file"]]
-)
-REJECTS_STORED = T.StructType(
-    [*[f for f in S.REJECTS_TABLE.fields if f.name != "source_file"], S.REJECTS_TABLE["source_file"]]
-)
+# Raw rows and rejects are partitioned by load: one folder per load, however many files it brings.
+LOAD_ID = T.StructField("load_id", T.StringType())
+RAW_STORED = T.StructType([*S.RAW_TABLE.fields, T.StructField("row_seq", ROW_SEQ), LOAD_ID])
+REJECTS_STORED = T.StructType([*S.REJECTS_TABLE.fields, LOAD_ID])
 
 
 def _definitions(layers: Layers) -> list[tuple[str, T.StructType, str | None]]:
     return [
-        (layers.raw, RAW_STORED, "source_file"),
+        (layers.raw, RAW_STORED, "load_id"),
         (layers.metadata, S.METADATA_TABLE, None),
         (layers.staging, S.STAGING_TABLE, "year"),
-        (layers.rejects, REJECTS_STORED, "source_file"),
+        (layers.rejects, REJECTS_STORED, "load_id"),
         (layers.dim_date, S.DIM_DATE_TABLE, None),
         (layers.dim_market, S.DIM_MARKET_TABLE, None),
         (layers.dim_commodity, S.DIM_COMMODITY_TABLE, None),
@@ -128,12 +124,17 @@ def is_empty(spark: SparkSession, name: str) -> bool:
     return spark.table(name).isEmpty()
 
 
-def fit(df: DataFrame, schema: T.StructType, stamp: str | None = None) -> DataFrame:
-    """Project to the table's columns in order, cast; absent columns are NULL and ``stamp`` is now."""
+def now(spark: SparkSession) -> datetime:
+    """The session's local time; a load takes it once, so that all its tables share one stamp."""
+    return spark.range(1).select(F.localtimestamp()).first()[0]
+
+
+def fit(df: DataFrame, schema: T.StructType, stamp: str | None = None, moment: datetime | None = None) -> DataFrame:
+    """Project to the table's columns in order, cast; absent columns are NULL and ``stamp`` is ``moment`` or now."""
 
     def column(field: T.StructField) -> Column:
         if field.name == stamp:
-            return F.localtimestamp().alias(field.name)
+            return (F.localtimestamp() if moment is None else F.lit(moment).cast("timestamp_ntz")).alias(field.name)
         if field.name not in df.columns:
             return F.lit(None).cast(field.dataType).alias(field.name)
         return F.col(f"`{field.name}`").cast(field.dataType).alias(field.name)
@@ -147,14 +148,16 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def append_rows(df: DataFrame, name: str, stamp: str | None = "loaded_at", rebalance_by: str | None = None) -> int:
+def append_rows(
+    df: DataFrame, name: str, stamp: str | None = "loaded_at", rebalance_by: str | None = None, moment: datetime | None = None
+) -> int:
     """Append and return the row count, counted during the write.
 
     ``rebalance_by`` sizes the files of a partitioned table: AQE splits a hot partition over many
     tasks and merges small ones. It costs a shuffle, so leave it out where the rows arrive in order.
     """
     spark = df.sparkSession
-    fitted = fit(df, spark.table(name).schema, stamp)
+    fitted = fit(df, spark.table(name).schema, stamp, moment)
     if rebalance_by:
         fitted = fitted.hint("rebalance", F.col(rebalance_by))
     watched, seen = counted(fitted)
@@ -162,43 +165,58 @@ def append_rows(df: DataFrame, name: str, stamp: str | None = "loaded_at", rebal
     return seen.get["rows"]
 
 
-def replace_files(df: DataFrame, name: str, stamp: str | None = "loaded_at") -> int:
-    """Write rows of a table partitioned by source file, replacing those files only.
+def append_files(df: DataFrame, name: str, load_id: str, moment: datetime | None = None) -> int:
+    """Append rows of files that the table does not hold yet.
 
-    A file loaded twice, refreshed or left half-written by a lost job counts once.
+    A file is its path and time, so equal names in other folders are other files, and a file that changed comes in
+    again beside its older rows. An append is whole or not there, so a load that was lost can be run again.
     """
     spark = df.sparkSession
-    fitted = fit(df, spark.table(name).schema, stamp)
-    watched, seen = counted(fitted)
-    # A table insert takes the mode from the session; without it all other files would be dropped.
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        watched.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
-    return seen.get["rows"]
+    held = spark.table(name).select(*S.FILE_KEY).distinct()
+    fresh = df.join(held, on=[df[c].eqNullSafe(held[c]) for c in S.FILE_KEY], how="left_anti")
+    return append_rows(fresh.withColumn("load_id", F.lit(load_id)), name, moment=moment)
 
 
 def publish_view(spark: SparkSession, name: str, source: str, expressions: Iterable[str], where: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(expressions)} FROM {source} WHERE {where}")
 
 
-def publish_table(df: DataFrame, name: str, sort_within: Sequence[str] = ()) -> DataFrame:
-    """Build the rows into a fresh table, then put it in the place of the old one.
+def write_version(df: DataFrame, name: str, sort_within: Sequence[str] = ()) -> str:
+    """Write rows as a new version of a published table, which readers do not see yet; returns the version's name.
 
-    Readers keep the old table until the new one is complete. Rows are sorted inside each file only,
-    for min/max skipping: a stored table has no order.
+    Rows are sorted inside each file only, for min/max skipping: a stored table has no order.
     """
-    spark = df.sparkSession
-    fresh = f"{name}_{uuid.uuid4().hex[:8]}"
+    version = f"{name}__v{uuid.uuid4().hex[:8]}"
     rows = df.sortWithinPartitions(*sort_within) if sort_within else df
-    rows.write.format("parquet").saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    try:
+        rows.write.format("parquet").saveAsTable(version)
+    except Exception:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    return version
+
+
+def switch(spark: SparkSession, name: str, version: str) -> DataFrame:
+    """Make ``version`` what readers of ``name`` see, in one statement, and drop the versions before it.
+
+    The published name is a view, so there is no moment without it; a crash leaves the old version in place.
+    """
+    database, _, short = name.rpartition(".")
+    held = {t.name: t.tableType for t in spark.catalog.listTables(database)}
+    if held.get(short.lower(), "VIEW") != "VIEW":  # published as a table once
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    for other in held:
+        if other.startswith(f"{short.lower()}__v") and f"{database}.{other}" != version.lower():
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{other}")
     return spark.table(name)
 
 
+def publish_table(df: DataFrame, name: str, sort_within: Sequence[str] = ()) -> DataFrame:
+    """Build the rows into a new version, then show it in one switch."""
+    return switch(df.sparkSession, name, write_version(df, name, sort_within))
+
+
 def keep_result(df: DataFrame, name: str) -> DataFrame:
     """Hold a result for reuse under a view name without running it again."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -206,6 +224,11 @@ def keep_result(df: DataFrame, name: str) -> DataFrame:
     return kept
 
 
+def preview(df: DataFrame, rows: int = 5) -> list:
+    """A few rows to look at, from as few partitions as give them."""
+    return df.take(rows)
+
+
 def as_of(df: DataFrame, moment: Column, column: str = "loaded_at") -> DataFrame:
     """An append-only table as it was at ``moment``; the filter reaches the scan."""
     return df.where(F.col(column) <= moment)

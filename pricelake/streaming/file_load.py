@@ -7,13 +7,15 @@ repeat if a batch is replayed.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.load_job import load_batch
-from ..session import tune
+from ..plans.load_job import build_marts, load_batch
+from ..schemas import CLEAN_KEY
+from ..session import tuned
 from ..sources import tables
-from ..sources.files import read_observations
 from ..sources.tables import Layers
 
 # The fixed columns of Spark's binaryFile source.
@@ -31,17 +33,22 @@ def load_new_files(
     folder: str,
     checkpoint: str,
     layers: Layers = Layers(),
-    dates: tuple[str, str] = ("2006-01-01", "2026-12-31"),
+    dates: tuple[str, str] | None = None,
     pattern: str = "*.csv",
     per_batch: int = 1000,
+    keys: Iterable[str] = CLEAN_KEY,
+    mirror: bool = False,
+    trend_pattern: str = "%maize%",
 ) -> StreamingQuery:
-    """Load every file that has arrived since the last call, then stop; returns the started query."""
-    tables.ensure_tables(tune(spark), layers)
+    """Load every file that has arrived since the last call, rebuild the marts, then stop; returns the started query."""
+    tables.ensure_tables(spark, layers)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         paths = [r["path"] for r in batch.collect()]  # at most ``per_batch`` file names
         if paths:
-            load_batch(read_observations(spark, paths), layers, dates)
+            with tuned(spark):
+                load_batch(spark, paths, layers, dates, keys, mirror)
+                build_marts(spark, layers, trend_pattern)
 
     writer = new_files(spark, folder, pattern, per_batch).writeStream.foreachBatch(load)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

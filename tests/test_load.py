@@ -1,10 +1,14 @@
 """Files, tables and the load job on hand-made CSV files."""
 
 import csv
+import os
+import re
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from pricelake.operators.matching import on_dates
 from pricelake.operators.quality import QualityError
 from pricelake.plans import load_job
 from pricelake.plans.load_log import flatten_notes
@@ -48,7 +52,7 @@ def test_load_is_complete_and_repeatable(spark, tmp_path):
     first = load_job.run_load(spark, path, layers, mirror=True)
     assert first["raw"] == 8
     assert (first["staging"], first["rejects"]) == (5, 2)
-    assert (first["facts"], first["outside_dates"], first["mirror"]) == (3, 1, 5)
+    assert (first["facts"], first["outside_dates"], first["mirror"]) == (4, 0, 7)  # the mirror holds rejected rows too
     assert spark.table(layers.raw).select("source_file").distinct().first()[0] == "prices 1+2.csv"
     staging = spark.table(layers.staging)
     kept = staging.where("commodity = 'Maize' AND market = 'Wakulima' AND month = 1").collect()
@@ -64,7 +68,7 @@ def test_load_is_complete_and_repeatable(spark, tmp_path):
 
     before = {t: spark.table(t).count() for t in (layers.raw, layers.staging, layers.rejects, layers.fact, layers.dim_market)}
     again = load_job.run_load(spark, path, layers, mirror=True)
-    assert (again["raw"], again["staging"], again["facts"], again["mirror"]) == (8, 0, 0, 0)
+    assert (again["raw"], again["staging"], again["rejects"], again["facts"], again["mirror"]) == (0, 0, 0, 0, 0)
     assert set(again["dimensions"].values()) == {0}
     assert {t: spark.table(t).count() for t in before} == before
 
@@ -77,12 +81,92 @@ def test_two_loads_equal_one(spark, tmp_path):
         load_job.run_load(spark, str(tmp_path / name), parts)
     load_job.run_load(spark, str(tmp_path / "*.csv"), whole)
     for layer in ("raw", "rejects", "staging", "fact", "monthly", "trend"):
-        one, two = (spark.table(getattr(x, layer)).drop("loaded_at", "row_seq") for x in (parts, whole))
+        one, two = (spark.table(getattr(x, layer)).drop("loaded_at", "row_seq", "load_id") for x in (parts, whole))
         assert one.exceptAll(two).count() == 0 and one.count() == two.count(), layer
     new = spark.table(parts.dim_market).where("market_name = 'Kibuye'")
     assert sorted(float(r["latitude"]) for r in new.collect()) == [1.0, 9.0]  # with and without a county
 
 
+def test_equal_names_in_two_folders_are_two_files(spark, tmp_path):
+    for year, changes in (("2023", [{"date": "2023-01-01"}, {"date": "2023-02-01"}]), ("2024", [{}, {"date": "2024-02-01"}, {"date": "2024-03-01"}])):
+        (tmp_path / year).mkdir()
+        write_csv(tmp_path / year / "prices.csv", *changes)
+    whole, parts = fresh(spark, "t10_"), fresh(spark, "t11_")
+    load_job.run_load(spark, str(tmp_path / "*" / "prices.csv"), whole)
+    for year in ("2023", "2024"):
+        load_job.run_load(spark, str(tmp_path / year / "prices.csv"), parts)
+    for layers in (whole, parts):
+        assert (spark.table(layers.raw).count(), spark.table(layers.fact).count()) == (5, 5)
+        assert spark.table(layers.raw).groupBy("source_path").count().count() == 2
+    assert load_job.run_load(spark, str(tmp_path / "*" / "prices.csv"), parts)["raw"] == 0
+    assert spark.table(parts.raw).count() == 5 and spark.table(parts.raw).select("load_id").distinct().count() == 2
+
+
+def test_dates_grow_with_the_rows(spark, tmp_path):
+    path = write_csv(tmp_path / "x.csv", {}, {"date": "1999-05-01"}, {"date": "2031-07-01"})
+    grown, fixed = fresh(spark, "t12_"), fresh(spark, "t13_")
+    got = load_job.run_load(spark, path, grown)
+    assert (got["facts"], got["outside_dates"]) == (3, 0)
+    assert spark.table(grown.dim_date).agg(F.min("full_date"), F.max("full_date")).first()[:] == (date(1999, 1, 1), date(2031, 12, 31))
+    got = load_job.run_load(spark, path, fixed, dates=("2006-01-01", "2026-12-31"))
+    assert (got["facts"], got["outside_dates"]) == (1, 2)
+
+
+def test_numbers_keep_their_value(spark, tmp_path):
+    layers = fresh(spark, "t14_")
+    rows = [{"market_id": "186.0", "commodity_id": "7.5"}, {"price": "150000000", "commodity": "gold"}]
+    got = load_job.run_load(spark, write_csv(tmp_path / "x.csv", *rows), layers, mirror=True)
+    assert (got["staging"], got["rejects"], got["mirror"]) == (1, 1, 2)
+    kept = spark.table(layers.staging).first()
+    assert (kept["source_market_id"], kept["source_commodity_id"]) == (186, None)
+    refused = spark.table(layers.rejects).first()
+    assert (float(refused["price_kes"]), refused["is_valid_price"]) == (1.5e8, True)
+    assert refused["reason"].startswith("price_kes does not fit decimal(12,4)")
+    assert spark.table(layers.metadata).select(F.variant_get("stats", "$.quality_notes", "string")).first()[0] == "[]"
+
+
+def test_scratch_is_gone_after_a_load_and_one_stamp_holds(spark, tmp_path):
+    layers = fresh(spark, "t15_")
+    load_job.run_load(spark, write_csv(tmp_path / "x.csv", *FIRST), layers, mirror=True)
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert not os.path.exists(folder) or not [d for d in os.listdir(folder) if d.startswith("scratch-")]
+    stamps = [r[0] for t in (layers.raw, layers.staging, layers.rejects, layers.fact, layers.metadata) for r in spark.table(t).select("loaded_at").distinct().collect()]
+    stamps += [r[0] for r in spark.table(layers.mirror).select("LOADED_AT").distinct().collect()]
+    assert len(set(stamps)) == 1
+    stats = spark.table(layers.metadata).select(F.variant_get("stats", "$.cleaning.dates_failed", "int"), F.variant_get("stats", "$.checks[0].name", "string")).first()
+    assert stats[:] == (1, "not_empty")
+
+
+def test_a_broken_mart_is_not_published(spark, tmp_path, monkeypatch):
+    layers = fresh(spark, "t16_")
+    path = write_csv(tmp_path / "x.csv", {})
+    load_job.run_load(spark, path, layers)
+    good = load_job.mart_monthly
+    monkeypatch.setattr(load_job, "mart_monthly", lambda view: good(view).withColumn("month", F.lit(13)))
+    with pytest.raises(QualityError, match="accepted_values"):
+        load_job.build_marts(spark, layers)
+    assert [r["month"] for r in spark.table(layers.monthly).collect()] == [1]
+    assert len([t for t in spark.catalog.listTables("t16_marts")]) == 4  # two views and their versions
+
+
+def test_only_the_years_of_a_batch_are_read(spark, tmp_path):
+    layers = fresh(spark, "t17_")
+    rows = [{"date": f"{year}-01-01"} for year in range(2006, 2027)]
+    load_job.run_load(spark, write_csv(tmp_path / "x.csv", *rows), layers)
+    days = spark.sql("SELECT explode(array(DATE'2006-05-01', DATE'2026-01-01')) AS day")
+    found = on_dates(spark.table(layers.staging), days, "price_date", "year")
+    assert [r["year"] for r in found.collect()] == [2026]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "year#" in text and re.search(r"PartitionFilters: \[.*year#\d+ IN \(2006,2026\)", text)
+
+
+def test_a_restated_price_is_reported(spark, tmp_path):
+    layers = fresh(spark, "t19_")
+    load_job.run_load(spark, write_csv(tmp_path / "a.csv", {}, {"commodity": "rice"}), layers)
+    got = load_job.run_load(spark, write_csv(tmp_path / "b.csv", {"price": "17"}, {"commodity": "rice"}), layers)
+    assert (got["raw"], got["staging"], got["restated"]) == (2, 0, 1)
+
+
 def test_gate_stops_before_staging(spark, tmp_path):
     layers = fresh(spark, "t4_")
     path = write_csv(tmp_path / "bad.csv", {"price": "-1"})
@@ -147,11 +231,8 @@ def test_landing_copy_replaces_its_own_date(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "landing")).count() == 4
 
 
-def test_spread_leaves_split_inputs_alone(spark):
-    pieces = min(spark.sparkContext.defaultParallelism, files.MAX_PIECES)
-    assert files.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == pieces
-    many = spark.range(0, 100, 1, 64)
-    assert files.spread(many) is many
+def test_spread_uses_all_cores(spark):
+    assert files.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
 def test_ensure_and_reset(spark):
@@ -169,7 +250,29 @@ def test_publish_replaces_the_whole_table(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS t8_marts")
     for n in (3, 5):
         assert tables.publish_table(spark.range(n), "t8_marts.m", ("id",)).count() == n
-    assert [r["tableName"] for r in spark.sql("SHOW TABLES IN t8_marts").collect()] == ["m"]
+    names = sorted(r["tableName"] for r in spark.sql("SHOW TABLES IN t8_marts").collect())
+    assert len(names) == 2 and names[0] == "m" and names[1].startswith("m__v")
+
+
+def test_readers_always_see_a_version(spark, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t18_marts")
+    tables.publish_table(spark.range(3), "t18_marts.m")
+    seen, plain = [], spark.sql
+
+    def watched(text, *args, **options):
+        if "t18_marts" in text:
+            seen.append(plain("SELECT count(*) FROM t18_marts.m").first()[0])
+        return plain(text, *args, **options)
+
+    monkeypatch.setattr(spark, "sql", watched)
+    version = tables.write_version(spark.range(5), "t18_marts.m")
+    assert spark.table("t18_marts.m").count() == 3
+    tables.switch(spark, "t18_marts.m", version)
+    assert seen[0] == 3 and set(seen) <= {3, 5} and spark.table("t18_marts.m").count() == 5
+
+
+def test_preview_takes_a_few_rows(spark):
+    assert [r["id"] for r in tables.preview(spark.range(100), 3)] == [0, 1, 2]
 
 
 def test_as_of_and_kept_result(spark):
@@ -190,10 +293,11 @@ def test_stream_loads_new_files_once(spark, tmp_path):
         return spark.table(layers.raw).count(), spark.table(layers.fact).count()
 
     write_csv(landing / "a.csv", *FIRST)
-    assert run() == (8, 3)
-    assert run() == (8, 3)
+    assert run() == (8, 4)
+    assert run() == (8, 4)
     write_csv(landing / "b.csv", {"date": "2024-05-01"}, {})
-    assert run() == (10, 4)
+    assert run() == (10, 5)
+    assert spark.table(layers.monthly).where("month = 5").count() == 1
 
 
 class _Calls:
