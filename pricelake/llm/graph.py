@@ -6,16 +6,50 @@ so that adaptive execution may split the hot partition, and nothing above the jo
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import Scratch
 
 
+#: Edges that one task may put together.
+LOCAL_EDGES = 200_000
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, component`` of the edges of one task, by union-find; smaller roots win."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    nodes = list(root)
+    if nodes:
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], names=["node", "component"])
+
+
 def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
-    """``node, component`` (smallest node reachable) of every node of ``edges`` (a, b: long), by alternating stars.
+    """``node, component`` (smallest node reachable) of every node of ``edges`` (a, b: long).
+
+    Up to ``LOCAL_EDGES`` edges are put together by one task; more of them by alternating stars, with the same result.
+    """
+    edges = scratch.store(edges.select("a", "b"), f"{name}-given")
+    if edges.count() <= LOCAL_EDGES:
+        return scratch.store(edges.coalesce(1).mapInArrow(_forest, "node long, component long"), name)
+    return star_components(scratch, edges, name)
+
+
+def star_components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
+    """The same for any number of edges.
 
     A large star hangs every larger neighbour of a node on the smallest one, a small star every smaller one; both keep
     components and bring paths down to stars in a logarithmic number of rounds.
@@ -44,44 +78,54 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     return found
 
 
-def linked(scratch: Scratch, lists: DataFrame, verify: Callable[[DataFrame, str], DataFrame], name: str, rounds: int = 6, per_node: int = 4) -> DataFrame:
+def linked(scratch: Scratch, lists: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, close: Callable | None = None, rounds: int = 6, per_node: int = 4) -> DataFrame:
     """``node, component`` under the links that ``verify`` confirms among pairs that share a list.
 
-    ``lists`` (key, node) names the candidates; ``verify`` takes pairs (a, b) and a name, and returns those that link.
-    Pairs of nodes that hang together already need no check. So every list first checks its members against one hub,
-    then, while lists still hold several components and would make too many pairs, against the next hub. What is left
-    then is checked pair by pair, so every link between different components is found whatever the rounds.
-    Nodes without any confirmed link are not in the result.
+    ``lists`` (key, node, and columns that ``close`` needs) names the candidates; ``verify`` takes pairs (a, b) and returns
+    those that link. ``close(left, right)`` gets two functions from such a column's name to the column and returns a
+    condition that every link meets; it is tested inside the join, so pairs that fail it are never rows.
+
+    Pairs of nodes that hang together already need no check. So lists first check their members against one hub each,
+    then, as long as that joins much, against the next hub. What is left then is checked pair by pair, so every link
+    between different components is found whatever the rounds. Nodes without any confirmed link are not in the result.
     """
+    carried = [c for c in lists.columns if c not in ("key", "node")]
     # Of lists with the same members, one is enough.
     alike = lists.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     alike = scratch.store(alike.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), f"{name}-alike")
     lists = scratch.store(lists.join(alike.hint("merge"), "key"), f"{name}-lists")
-    edges, labels = None, None
+    close = close or (lambda left, right: F.lit(True))
+    edges, labels, before = None, None, None
     for turn in range(rounds + 1):
         if labels is None:
             marked = lists.withColumn("component", F.col("node"))
         else:
-            marked = lists.join(labels.hint("merge"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        marked = scratch.store(marked, f"{name}-marked-{turn}")
-        parts = marked.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")).alias("first"))
-        shared = parts.groupBy("key").agg(
-            F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"),
-            F.max(F.struct("n", "first.h", "first.node", "component")).alias("hub"),
-        ).where("parts > 1")
+            marked = lists.join(labels.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        marked = scratch.store(marked.select("key", "node", *carried, "component"), f"{name}-marked-{turn}")
+        parts = marked.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", *carried)).alias("first"))
         # The hub is a member of the largest part, another one in every round.
-        shared = scratch.store(shared.select("key", "n", "same", F.col("hub.node").alias("hub"), F.col("hub.component").alias("at")), f"{name}-shared-{turn}")
+        shared = parts.groupBy("key").agg(
+            F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.max(F.struct("n", "first", "component")).alias("hub")
+        )
+        of_hub = [F.col(f"hub.first.{c}").alias(f"hub_{c}") for c in ("node", *carried)]
+        shared = scratch.store(shared.where("parts > 1").select("key", "n", "same", *of_hub, F.col("hub.component").alias("at")), f"{name}-shared-{turn}")
         left = shared.agg(F.count("*").alias("lists"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"), F.sum("n").alias("members")).first()
         if not left["lists"]:
             break
-        last = turn == rounds or left["pairs"] <= per_node * left["members"]
+        last = turn == rounds or left["pairs"] <= per_node * left["members"] or (before is not None and left["pairs"] > 0.8 * before)
+        before = left["pairs"]
         if last:
-            several = marked.join(shared.select("key").hint("merge"), "key", "left_semi")
-            one, two = several.select("key", F.col("node").alias("a"), F.col("component").alias("ca")), several.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-            pairs = one.join(two.hint("merge"), "key").where("ca != cb and a < b").select("a", "b")
+            several = scratch.store(marked.join(shared.select("key").hint("merge"), "key", "left_semi"), f"{name}-several")
+            one, two = (several.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "component", *carried))) for side in "ab")
+            apart = (F.col("component_a") != F.col("component_b")) & (F.col("node_a") < F.col("node_b"))
+            near = close(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"))
+            pairs = one.join(two.withColumnRenamed("key", "key_b").hint("merge"), (F.col("key") == F.col("key_b")) & apart & near)
+            pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         else:
-            pairs = marked.join(shared.hint("merge"), "key").where("component != at").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        found = verify(scratch.store(pairs.distinct(), f"{name}-pairs-{turn}"), f"{name}-verify-{turn}")
+            near = close(F.col, lambda c: F.col(f"hub_{c}"))
+            pairs = marked.join(shared.withColumnRenamed("key", "hub_key").hint("merge"), (F.col("key") == F.col("hub_key")) & (F.col("component") != F.col("at")) & near)
+            pairs = pairs.select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b"))
+        found = verify(scratch.store(pairs.distinct(), f"{name}-pairs-{turn}"))
         edges = scratch.store(found if edges is None else edges.unionByName(found), f"{name}-edges-{turn}")
         labels = components(scratch, edges, f"{name}-components-{turn}")
         for part in ("marked", "shared", "pairs"):

@@ -10,7 +10,8 @@ Large sets: lists are kept for parts of a set rather than for single shingles, b
 stands in very many sets. The hashes are cut into m ranges; linked sets of a size class differ in at most d < m shingles,
 so some range holds the same shingles in both, and a list holds the sets with one content in one range. A set with m - d
 or more empty ranges could agree on empty ranges only; such sets also emit their first shingles (prefix filter).
-Candidates are checked on their whole sets, list by list against hubs, see ``graph.linked``.
+Sets that link share a number of lists that follows from their sizes and empty ranges, so each set leaves out its longest
+ones. Candidates whose parities allow a link are checked on their whole sets, list by list against hubs, see ``graph.linked``.
 
 The boundary is the largest size whose subsets cost no more rows than its lists and the reading of its words do.
 
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..scratch import Scratch
 from .common import fresh, values
@@ -40,6 +42,10 @@ from .shingles import U, mix, overlap, set_id, shingle_set
 SLACK = 0.15
 #: Sizes whose subsets are counted when the boundary is chosen.
 LARGEST_SMALL = 24
+#: Low bits of a key that tell its kind: the size class, and lists of ranges from lists of single shingles.
+KINDS = 512
+#: Bits of the parity of a set.
+PARITY = 1024
 
 
 class Plan:
@@ -92,20 +98,26 @@ class Plan:
                 out += [(int(k), 2 if s == t else int(s > t)) for k in keys]
         return out
 
-    def list_keys(self, hashes: np.ndarray) -> np.ndarray:
-        """Keys of the lists that a set stands in."""
-        s, keys = len(hashes), []
+    def list_keys(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the lists that a set stands in, the kind in the low bits, and how many lists of a kind a link shares.
+
+        Linked sets agree on m - d ranges at least. They can agree on empty ones, which are in no list, so a set with e
+        empty ranges shares at least m - d - e lists with any set it links with.
+        """
+        s, keys, needs = len(hashes), [], []
         blended = mix(hashes + U(0x2545F4914F6CDD1D))
         for j in self.classes(s):
             m, d = self.ranges(j)
             at = ((hashes >> U(32)) * U(m)) >> U(32)  # ranges of the hash, so they follow each other in a sorted set
             first = np.flatnonzero(np.diff(at, prepend=U(m)))
             salt = U(j * 2 + 1) << U(40)
-            keys.append(mix(np.add.reduceat(blended, first) + mix(at[first] + salt)))
+            keys.append((mix(np.add.reduceat(blended, first) + mix(at[first] + salt)) & ~U(KINDS - 1)) | U(2 * j))
+            needs.append(np.full(len(first), max(len(first) - d, 1), np.int32))
             if len(first) <= d:  # every range that is sure to agree may be an empty one
                 prefix = s - max(-(-self.percent * s // 100), 1) + 1
-                keys.append(mix(blended[:prefix] + mix(np.array([salt + U(1 << 39)], U))))
-        return np.concatenate(keys).astype(np.int64)
+                keys.append((mix(blended[:prefix] + mix(np.array([salt + U(1 << 39)], U))) & ~U(KINDS - 1)) | U(2 * j + 1))
+                needs.append(np.ones(prefix, np.int32))
+        return np.concatenate(keys).astype(np.int64), np.concatenate(needs)
 
 
 def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -133,64 +145,81 @@ def _nodes(rows: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _listed(rows: DataFrame, plan: Plan) -> DataFrame:
-    """``key, node`` of the inverted lists of large sets, and of small ones that may link with them."""
+    """``key, node, need`` of the inverted lists of large sets, and of small ones that may link with them."""
     least = plan.partners(plan.boundary + 1)[0]
 
+    def table(keys: list, nodes: list) -> pa.RecordBatch:
+        sizes = [len(k) for k, _ in keys]
+        columns = [np.concatenate([k for k, _ in keys]), np.repeat(np.array(nodes), sizes), np.concatenate([n for _, n in keys])]
+        return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["key", "node", "need"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies within the task would emit the same rows again
         for batch in batches:
-            keys, nodes, sizes = [], [], []
+            keys, nodes = [], []
             for text in values(batch.column(0)):
                 hashes = shingle_set(text, plan.width)
                 if len(hashes) >= least and (node := set_id(hashes)) not in seen:
                     seen.add(node)
                     keys.append(plan.list_keys(hashes))
                     nodes.append(node)
-                    sizes.append(len(keys[-1]))
                 if len(keys) >= 500:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(nodes), sizes))], names=["key", "node"])
-                    keys, nodes, sizes = [], [], []
+                    yield table(keys, nodes)
+                    keys, nodes = [], []
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(nodes), sizes))], names=["key", "node"])
+                yield table(keys, nodes)
 
-    return rows.select("text").mapInArrow(run, "key long, node long")
+    return rows.select("text").mapInArrow(run, "key long, node long, need int")
 
 
 def _shared(lists: DataFrame) -> DataFrame:
     """The rows of keys that have two different nodes, from a shuffle by key and a sort that can spill."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, node, told = None, None, False  # the key that the last batch ended with, its first node, and whether it is out
+        last, told = None, False  # the row that the batch before ended with, and whether it is out
         for batch in batches:
-            keys, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(keys):
+            rows = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], axis=1)
+            if not len(rows):
                 continue
-            if key is not None and keys[0] == key:
-                keys, nodes = np.append(key, keys), np.append(node, nodes)
-                carried = True
-            else:
-                carried, told = False, False
-            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            run_of = np.cumsum(np.append(True, keys[1:] != keys[:-1])) - 1
-            other = np.zeros(len(keys), bool)
-            other[1:] = (nodes[1:] != nodes[:-1]) & (keys[1:] == keys[:-1])
-            several = np.logical_or.reduceat(other, starts)
-            if carried and told:
+            carried = last is not None and rows[0, 0] == last[0]
+            told = told and carried
+            if carried:
+                rows = np.concatenate([last[None, :], rows])
+            new_key = np.append(True, rows[1:, 0] != rows[:-1, 0])
+            new_node = np.append(False, rows[1:, 1] != rows[:-1, 1]) & ~new_key
+            starts = np.flatnonzero(new_key)
+            several = np.logical_or.reduceat(new_node, starts)
+            if told:
                 several[0] = True
-            keep = several[run_of] & np.append(True, (nodes[1:] != nodes[:-1]) | (keys[1:] != keys[:-1]))
-            if carried and told:
+            keep = several[np.cumsum(new_key) - 1] & (new_key | new_node)
+            if told:
                 keep[0] = False
-            end = starts[-1]
-            key, told = keys[-1], bool(several[-1])
-            node = nodes[-1] if told else nodes[end]
+            last, told = rows[-1], bool(several[-1])
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(nodes[keep])], names=["key", "node"])
+                columns = [pa.array(rows[keep, 0]), pa.array(rows[keep, 1]), pa.array(rows[keep, 2].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "need"])
+
+    return lists.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, node long, need int")
 
-    return lists.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, node long")
+
+def _rare(scratch: Scratch, lists: DataFrame) -> DataFrame:
+    """``key, node``: of every set all lists but its need - 1 longest ones of a kind.
+
+    Two sets that share as many lists as both need also share one of those that are left (the prefix filter, with lists
+    as elements and the longest last), so the lists of passages that very many sets share are met by few.
+    """
+    lists = scratch.store(lists, "shared")
+    sizes = lists.groupBy("key").agg(F.count("*").alias("n"))
+    kind = F.col("key").bitwiseAND(KINDS - 1)
+    longest = Window.partitionBy("node", kind).orderBy(F.desc("n"), "key")
+    left = lists.join(sizes, "key").withColumn("rank", F.row_number().over(longest)).where("rank >= need").select("key", "node")
+    left = scratch.store(left, "rare")
+    several = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return scratch.store(left.join(scratch.store(several, "several").hint("merge"), "key"), "lists")
 
 
 def _sets(rows: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
-    """``node, hashes`` of the wanted nodes (id, node), computed again from their texts."""
+    """``node, size, parity, hashes`` of the wanted nodes (id, node), computed again from their texts."""
     picked = rows.join(wanted.withColumnRenamed("id", "wanted"), F.col("id").eqNullSafe(F.col("wanted"))).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,9 +227,33 @@ def _sets(rows: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
             sets = [shingle_set(text, plan.width) for text in values(batch.column(1))]
             # An id may stand for several texts; the one that the node stands for is taken.
             right = [i for i, (x, node) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if len(x) and set_id(x) == node]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(right, pa.int64())), pa.array([sets[i].tobytes() for i in right], pa.binary())], names=["node", "hashes"])
+            made = [
+                batch.column(0).take(pa.array(right, pa.int64())),
+                pa.array([len(sets[i]) for i in right], pa.int64()),
+                pa.array([parity(sets[i]).tolist() for i in right], pa.list_(pa.int64())),
+                pa.array([sets[i].tobytes() for i in right], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(made, names=["node", "size", "parity", "hashes"])
+
+    return picked.mapInArrow(run, "node long, size long, parity array<long>, hashes binary")
+
+
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Of every of ``PARITY`` classes of shingles, whether a set holds an odd number: two sets differ in at least as many
+    shingles as in bits, and in hardly more while the sets are smaller than that."""
+    odd = np.bincount((hashes & U(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _may_link(plan: Plan):
+    """Whether two sets can link, by the bits in which their parities differ."""
+
+    def close(left, right):
+        bits = F.aggregate(F.zip_with(left("parity"), right("parity"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        both = left("size") + right("size")
+        return bits <= both - 2 * F.ceil(plan.percent * both / F.lit(100 + plan.percent))
 
-    return picked.mapInArrow(run, "node long, hashes binary")
+    return close
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
@@ -230,11 +283,12 @@ def _grouped(rows: DataFrame, plan: Plan, scratch: Scratch) -> tuple[DataFrame,
     hubs = scratch.store(hubs.where("hub != far and (low = 2 or (low = 0 and high = 1))").select("key", "hub"), "subset-hubs")
     small = met.join(hubs.hint("merge"), "key").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
 
-    lists = scratch.store(_shared(_listed(rows, plan)), "lists")
+    lists = _rare(scratch, _shared(_listed(rows, plan)))
     names = info.groupBy("node").agg(F.min("id").alias("id"))
     wanted = scratch.store(names.join(lists.select("node").distinct(), "node", "left_semi"), "wanted")
     sets = scratch.store(_sets(rows, wanted, plan).dropDuplicates(["node"]), "sets")
-    large = linked(scratch, lists, lambda pairs, _: _checked(pairs, sets, plan), "large")
+    lists = lists.join(sets.select("node", "size", "parity").hint("merge"), "node")
+    large = linked(scratch, lists, lambda pairs: _checked(pairs, sets, plan), "large", _may_link(plan))
 
     edges = small.unionByName(large.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")))
     groups = components(scratch, edges, "groups")
