@@ -63,7 +63,7 @@ if __name__ == "__main__":
     session, con = build_session(), connect(folder)
     texts, failed = spark_entry.oracle_sql(), 0
     for name, build in spark_entry.queries().items():
-        if names and name not in names:
+        if name not in texts or names and name not in names:
             continue
         start = time.time()
         try:
