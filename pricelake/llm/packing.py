@@ -35,7 +35,7 @@ LETTERS = "a-z\xdf-\xf6\xf8-\xff"
 PART = re.compile(f"[{LETTERS}]++(?=[.,])|[^ \t\n\r\x0b\x0c]++")
 PLAIN = re.compile(f"[{LETTERS}]++")
 #: Distinct parts whose ids are kept per Python worker; older ones go when there are twice as many.
-KEPT = 250_000
+KEPT = 150_000
 ROWS_PER_BUCKET = 100_000
 BUCKETS = 64
 

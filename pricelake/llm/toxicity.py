@@ -48,7 +48,8 @@ PURITY, CERTAINTY = 0.9, 1.96
 MOST_ODDS = 6.0
 #: Tokens that a negation reaches.
 REACH = 3
-KEPT = 200_000
+#: Tokens whose symbols are kept per task, and terms a task counts before it passes them on.
+KEPT, HELD_TERMS = 100_000, 50_000
 
 
 class Machine(NamedTuple):
@@ -172,13 +173,21 @@ def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> dict[str, float]
     """Strengths (log odds) of terms that mark toxic texts beyond chance, from ``sample`` (text, toxic)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, clean = Counter(), Counter()  # of a bounded sample
+        counts = (Counter(), Counter())  # of clean and of toxic texts
+
+        def told() -> pa.RecordBatch:
+            terms = list(counts[0].keys() | counts[1].keys())
+            columns = [pa.array([c[t] for t in terms], pa.int64()) for c in reversed(counts)]
+            for c in counts:
+                c.clear()
+            return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *columns], names=["term", "toxic", "clean"])
+
         for batch in batches:
             for text, label in zip(values(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                (toxic if label else clean).update(_terms(text or ""))
-        terms = list(toxic | clean)
-        counts = [pa.array([c[t] for t in terms], pa.int64()) for c in (toxic, clean)]
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *counts], names=["term", "toxic", "clean"])
+                counts[bool(label)].update(_terms(text or ""))
+                if len(counts[0]) + len(counts[1]) > HELD_TERMS:
+                    yield told()
+        yield told()
 
     sizes = sample.agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")).first()
     if not sizes["toxic"] or not sizes["clean"]:
