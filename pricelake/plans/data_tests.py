@@ -47,14 +47,14 @@ def star_tests(facts: DataFrame, dates: DataFrame, markets: DataFrame, commoditi
     ])
 
 
-def published(spark: SparkSession, layers: Layers, monthly: str, trend: str) -> DataFrame:
+def published(spark: SparkSession, layers: Layers, monthly: DataFrame, trend: str) -> DataFrame:
     """All tests over the stored tables and the versions that are to be published."""
     return union([
         staging_tests(spark.table(layers.staging)),
         quality.unique(spark.table(layers.staging), "staging", STAGING_KEY),
         view_tests(spark.table(layers.view)),
-        monthly_tests(spark.table(monthly)),
-        quality.unique(spark.table(monthly), "monthly", MONTHLY_KEY),
+        monthly_tests(monthly),
+        quality.unique(monthly, "monthly", MONTHLY_KEY),
         trend_tests(spark.table(trend)),
         star_tests(*(spark.table(t) for t in (layers.fact, layers.dim_date, layers.dim_market, layers.dim_commodity))),
     ])

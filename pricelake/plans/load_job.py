@@ -140,18 +140,30 @@ def load_mirror(cleaned: DataFrame, layers: Layers, moment: datetime | None = No
     return seen.get["rows"]
 
 
-def build_marts(spark: SparkSession, layers: Layers, pattern: str = "%maize%") -> dict[str, int]:
-    """The view, and new versions of the marts that pass all data tests before readers see them."""
+def build_marts(spark: SparkSession, layers: Layers, pattern: str = "%maize%", years: Iterable[int] | None = None) -> dict[str, int]:
+    """The view, and new versions of the marts that pass all data tests before readers see them.
+
+    Of the monthly mart only ``years`` are built again (all of them without the argument or on the first build); the trend
+    compares with months of other years and is built from the whole monthly mart, which is small beside the staging.
+    """
     tables.publish_view(spark, layers.view, layers.staging, view_expressions(), VIEW_FILTER)
-    monthly = tables.write_version(mart_monthly(spark.table(layers.view)), layers.monthly, ("year", "month", "county", "commodity"))
-    trend = tables.write_version(mart_trend(spark.table(monthly), pattern), layers.trend, ("county", "year", "month"))
+    view, build = spark.table(layers.view), uuid.uuid4().hex[:12]
+    before = tables.published_builds(spark, layers.monthly)
+    touched = sorted(set(years)) if years is not None and before else None
+    rows = mart_monthly(view if touched is None else view.where(F.col("year").isin(touched)))
+    built = tables.write_years(rows, layers.monthly, build, ("month", "county", "commodity"))
+    kept = {} if touched is None else {year: held for year, held in before.items() if year not in touched}
+    builds = kept | dict.fromkeys(built, build)
+    monthly = spark.table(f"{layers.monthly}__data").where(tables.build_expression(builds)).drop("build")
+    trend = tables.write_version(mart_trend(monthly, pattern), layers.trend, ("county", "year", "month"))
     try:
         data_tests.check(data_tests.published(spark, layers, monthly, trend))
     except quality.QualityError:
-        for version in (monthly, trend):
-            spark.sql(f"DROP TABLE IF EXISTS {version}")
+        tables.drop_build(spark, layers.monthly, build, built)
+        spark.sql(f"DROP TABLE IF EXISTS {trend}")
         raise
-    return {name: tables.switch(spark, name, version).count() for name, version in ((layers.monthly, monthly), (layers.trend, trend))}
+    shown = tables.switch_years(spark, layers.monthly, builds, rows.columns)
+    return {layers.monthly: shown.count(), layers.trend: tables.switch(spark, layers.trend, trend).count()}
 
 
 def load_batch(
@@ -182,6 +194,7 @@ def load_batch(
 
         accepted, rejected = staged(cleaned, FILE_KEY)
         days = scratch.store(dates_of(accepted, "price_date"), "days")
+        counts["years"] = sorted(r[0] for r in days.select(F.year("day")).distinct().collect())  # a calendar's worth
         if dates:
             load_dates(spark, layers, *dates)
         else:
@@ -225,5 +238,5 @@ def run_load(
     with tuned(spark):
         tables.ensure_tables(spark, layers)
         counts = load_batch(spark, path, layers, dates, keys, mirror, rebalance)
-        counts["marts"] = build_marts(spark, layers, trend_pattern)
+        counts["marts"] = build_marts(spark, layers, trend_pattern, counts["years"])
     return counts

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -75,6 +77,9 @@ class Layers:
         return [f"{self.prefix}{d}" for d in ("raw", "staging", "warehouse", "analytics", "marts", "mirror")]
 
 
+# The property of a view that tells which build of every year it shows.
+BUILDS = "pricelake.builds"
+
 # The row order inside the raw files, kept with the raw rows so that cleaning reads the table only.
 ROW_SEQ = T.StructType().add("file_time", "timestamp").add("file", "string").add("block", "long").add("position", "long")
 # Raw rows and rejects are partitioned by load: one folder per load, however many files it brings.
@@ -212,6 +217,51 @@ def switch(spark: SparkSession, name: str, version: str) -> DataFrame:
     return spark.table(name)
 
 
+def published_builds(spark: SparkSession, name: str) -> dict[int, str]:
+    """Which build of every year readers of a table published by year see."""
+    if not spark.catalog.tableExists(name):
+        return {}
+    held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return {int(year): build for year, build in json.loads(held.get(BUILDS, "{}")).items()}
+
+
+def write_years(df: DataFrame, name: str, build: str, sort_within: Sequence[str] = ()) -> list[int]:
+    """Write the rows of some years as a new build, which readers do not see yet; returns the years."""
+    spark, data = df.sparkSession, f"{name}__data"
+    columns = [c for c in df.columns if c != "year"]
+    rows = df.select(*columns, F.lit(build).alias("build"), "year")
+    rows = rows.sortWithinPartitions(*sort_within) if sort_within else rows
+    rows.write.format("parquet").mode("append").partitionBy("build", "year").saveAsTable(data)
+    return sorted(r[0] for r in spark.table(data).where(F.col("build") == build).select("year").distinct().collect())  # a calendar's worth
+
+
+def drop_build(spark: SparkSession, name: str, build: str, years: Iterable[int]) -> None:
+    for year in years:
+        spark.sql(f"ALTER TABLE {name}__data DROP IF EXISTS PARTITION (build = '{build}', year = {year})")
+
+
+def build_expression(builds: dict[int, str]) -> Column:
+    """The rows that belong to their year's build."""
+    by: dict[str, list[int]] = {}
+    for year, build in builds.items():
+        by.setdefault(build, []).append(year)
+    return reduce(lambda a, b: a | b, ((F.col("build") == build) & F.col("year").isin(years) for build, years in by.items()), F.lit(False))
+
+
+def switch_years(spark: SparkSession, name: str, builds: dict[int, str], columns: Sequence[str]) -> DataFrame:
+    """Show every year's build to the readers of ``name`` in one statement, then drop the builds before."""
+    before, by = published_builds(spark, name), {}
+    for year, build in builds.items():
+        by.setdefault(build, []).append(str(year))
+    where = " OR ".join(f"(build = '{build}' AND year IN ({', '.join(years)}))" for build, years in by.items()) or "false"
+    known = json.dumps({str(year): build for year, build in builds.items()})
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{BUILDS}' = '{known}') AS SELECT {', '.join(columns)} FROM {name}__data WHERE {where}")
+    for year, build in before.items():
+        if builds.get(year) != build:
+            drop_build(spark, name, build, [year])
+    return spark.table(name)
+
+
 def publish_table(df: DataFrame, name: str, sort_within: Sequence[str] = ()) -> DataFrame:
     """Build the rows into a new version, then show it in one switch."""
     return switch(df.sparkSession, name, write_version(df, name, sort_within))

@@ -47,8 +47,8 @@ def load_new_files(
         paths = [r["path"] for r in batch.collect()]  # at most ``per_batch`` file names
         if paths:
             with tuned(spark):
-                load_batch(spark, paths, layers, dates, keys, mirror)
-                build_marts(spark, layers, trend_pattern)
+                counts = load_batch(spark, paths, layers, dates, keys, mirror)
+                build_marts(spark, layers, trend_pattern, counts["years"])
 
     writer = new_files(spark, folder, pattern, per_batch).writeStream.foreachBatch(load)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

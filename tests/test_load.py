@@ -146,7 +146,25 @@ def test_a_broken_mart_is_not_published(spark, tmp_path, monkeypatch):
     with pytest.raises(QualityError, match="accepted_values"):
         load_job.build_marts(spark, layers)
     assert [r["month"] for r in spark.table(layers.monthly).collect()] == [1]
-    assert len([t for t in spark.catalog.listTables("t16_marts")]) == 4  # two views and their versions
+    assert len([t for t in spark.catalog.listTables("t16_marts")]) == 4  # two views and what they show
+
+
+def test_only_touched_years_of_the_monthly_mart_are_built_again(spark, tmp_path):
+    parts, whole = fresh(spark, "t20_"), fresh(spark, "t21_")
+    write_csv(tmp_path / "a.csv", {"date": "2022-12-01"}, {"date": "2023-01-01"}, {"date": "2024-01-01"})
+    write_csv(tmp_path / "b.csv", {"date": "2023-02-01", "price": "77"}, {"date": "2025-01-01"})
+    load_job.run_load(spark, str(tmp_path / "a.csv"), parts)
+    first = tables.published_builds(spark, parts.monthly)
+    load_job.run_load(spark, str(tmp_path / "b.csv"), parts)
+    second = tables.published_builds(spark, parts.monthly)
+    assert set(second) == {2022, 2023, 2024, 2025}
+    assert {y for y in first if first[y] == second[y]} == {2022, 2024}
+    held = {(r["build"], r["year"]) for r in spark.table(f"{parts.monthly}__data").select("build", "year").distinct().collect()}
+    assert held == {(build, year) for year, build in second.items()}
+    load_job.run_load(spark, str(tmp_path / "*.csv"), whole)
+    for layer in ("monthly", "trend"):
+        one, two = (spark.table(getattr(x, layer)) for x in (parts, whole))
+        assert one.columns == two.columns and one.exceptAll(two).count() == 0 and one.count() == two.count()
 
 
 def test_only_the_years_of_a_batch_are_read(spark, tmp_path):
