@@ -11,7 +11,7 @@ from .common import table
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = lines.line_groups(table(spark, folder, "documents"))
+    found = lines.line_groups(table(spark, folder, "documents"), wide=True)
     return found.select(F.col("id").alias("doc_id"), "line", "group", F.col("first.id").alias("first_doc_id"), F.col("first.line").alias("first_line"), "kept")
 
 

@@ -201,3 +201,28 @@ def test_dedup_takes_lines_away(spark, docs_of):
         elif any(lines.normal_lines(after)):
             expected.append((i, after))
     assert sorted(map(str, ((r["doc_id"], r["text"]) for r in left.collect()))) == sorted(map(str, expected))
+
+
+def test_wide_line_groups_follow_edit_similarity(spark, docs_of):
+    rng = random.Random(8)
+    texts = []
+    for size in (8, 12, 20, 30, 50, 80):
+        for _ in range(8):
+            words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8))) for _ in range(size)]
+            texts.append(" ".join(words))
+            at = rng.randrange(size)
+            texts.append(" ".join([*words[:at], words[at][:-1] + "z", *words[at + 1 :]]))  # one letter
+            for k in rng.sample(range(size), size // 15):
+                words[k] = words[k][::-1]
+            texts.append(" ".join(words))
+            texts.append("x" * (len(texts[-1]) // 2) + " " + texts[-1][len(texts[-1]) // 2 :])  # not alike
+    rows = [(i, text, "s") for i, text in enumerate(texts)]
+    classes = sorted(set(texts))
+    least = closed(classes, [(a, b) for a in classes for b in classes if a < b and lines.alike(a, b)])
+    first = {}
+    for i, text, _ in rows:
+        first.setdefault(least[text], i)
+    expected = {i: first[least[text]] for i, text, _ in rows}
+    assert {r["id"]: r["first"]["id"] for r in lines.line_groups(docs_of(rows), wide=True).collect()} == expected
+    narrow = {r["id"]: r["first"]["id"] for r in lines.line_groups(docs_of(rows)).collect()}
+    assert sum(narrow[i] != f for i, f in expected.items()) > 20
