@@ -45,6 +45,26 @@ def test_fingerprints(spark, docs_of):
     assert one["near_next"] == 1.0
 
 
+def test_fingerprints_count_words_of_long_texts_too(spark, docs_of):
+    rng = random.Random(4)
+    common, rare = [f"common{i}" for i in range(40)], [f"rare{i}" for i in range(400)]
+    texts = [" ".join([*common, *(f"own{k}x{i}" for i in range(150)), *rng.sample(rare, 60)]) for k in range(100)]
+    pairs = []
+    for k in range(20):
+        shared = " ".join(rng.sample(rare, 30))
+        pairs.append(len(texts))
+        texts += [f"{shared} {common[2 * k]}", f"{shared} {common[2 * k + 1]}"] * 2
+    docs = docs_of([(i, text, "s") for i, text in enumerate([*texts, None])])
+    most = 0.2  # 36 documents: above every rare word of the texts, below the common ones
+    held = Counter(w for text in texts for w in set(text.split()))
+    numbers = {r["h"]: r["w"] for r in spark.createDataFrame([(w,) for w in held], "w string").selectExpr("w", "xxhash64(w) h").collect()}
+    assert {numbers[r["h"]]: r["n"] for r in imatch.frequencies(docs).collect()} == {w: n for w, n in held.items() if n >= 2}
+    assert all(held[w] > most * (len(texts) + 1) for w in common) and sum(held[w] <= most * len(texts) for w in rare) > 300
+    found = {r["doc_id"]: r["fingerprint"].split(",") for r in imatch.fingerprints(docs, most=most).collect() if r["fingerprint"]}
+    parts = slice(0, imatch.DRAWS * (imatch.LONG + imatch.BRIEF))
+    assert all(found[i][parts] == found[i + 1][parts] and any(found[i][parts]) for i in pairs)  # the common word is no term
+
+
 def plain_spans(text):
     """The three patterns as given, match by match."""
     out = [(m.start(), m.end(), "assign") for m in re.finditer(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 6]
