@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, imatch, jaccard, lattice, lines, mixing, packing, secrets, token_counts, toxicity
+from . import chat, imatch, jaccard, lattice, lines, mixing, packing, resampling, secrets, token_counts, toxicity
 from .common import table
 
 
@@ -59,9 +59,14 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), definition, limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_mix_sources, op4_chat_format, op5_imatch_fingerprints, op6_ngram_jaccard, op7_lattice_near_dedup, op8_pack_documents, op9_toxicity, op10_token_counts)}
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_mix_sources, op4_chat_format, op5_imatch_fingerprints, op6_ngram_jaccard, op7_lattice_near_dedup, op8_pack_documents, op9_toxicity, op10_token_counts, op13_importance_resampling)}
 
 ORACLES = {
+    "op13_importance_resampling": resampling.ORACLE.replace("{docs}", "documents").replace("{target}", "benchmark"),
     "op6_ngram_jaccard": jaccard.ORACLE.replace("{docs}", "documents"),
     "op3_mix_sources": mixing.ORACLE.format(docs="documents")
     + "SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM mixed",
