@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, imatch, jaccard, lattice, lines, mixing, packing, resampling, secrets, token_counts, toxicity
+from . import chat, imatch, jaccard, lattice, lines, mixing, packing, resampling, runs, secrets, subword, token_counts, toxicity
 from .common import table
 
 
@@ -59,11 +59,20 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), definition, limit=1024)
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(runs.looped(table(spark, folder, "documents")))
+
+
+def op12_quality_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return subword.score(docs, subword.learn(docs, table(spark, folder, "labels")))
+
+
 def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_mix_sources, op4_chat_format, op5_imatch_fingerprints, op6_ngram_jaccard, op7_lattice_near_dedup, op8_pack_documents, op9_toxicity, op10_token_counts, op13_importance_resampling)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_mix_sources, op4_chat_format, op5_imatch_fingerprints, op6_ngram_jaccard, op7_lattice_near_dedup, op8_pack_documents, op9_toxicity, op10_token_counts, op11_periodic_runs, op12_quality_embeddings, op13_importance_resampling)}
 
 ORACLES = {
     "op13_importance_resampling": resampling.ORACLE.replace("{docs}", "documents").replace("{target}", "benchmark"),
