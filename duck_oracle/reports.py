@@ -352,6 +352,26 @@ FROM facts WHERE market_id NOT IN (SELECT market_id FROM markets WHERE source_ma
     "test_relationship": " UNION ALL ".join(
         [_orphans("date_id", "dates"), _orphans("market_id", "markets"), _orphans("commodity_id", "commodities")]
     ),
+    "mart_monthly_merged": "SELECT * FROM monthly",
+    "scan_broken": """
+SELECT fault, count(*) AS n, CAST(coalesce(sum(letters), 0) AS BIGINT) AS letters FROM (
+  SELECT CASE WHEN doc_id % 3 = 1 THEN 'quotation mark not closed' WHEN doc_id % 3 = 2 AND commas > 0 THEN concat(commas + 3, ' fields, not 3') END AS fault,
+         CASE WHEN doc_id % 3 = 0 THEN length(replace(body, 'a', 'a"')) WHEN doc_id % 3 = 2 AND commas = 0 THEN length(body) END AS letters
+  FROM (SELECT doc_id, body, length(body) - length(replace(body, ',', '')) AS commas
+        FROM (SELECT doc_id, unnest(string_split(replace(text, '"', ''), chr(10))) AS body FROM documents))
+) GROUP BY fault""",
+    "tests_by_year": """
+SELECT year, 'standard' AS table_name, 'not_null' AS test, 'unit' AS column_name, count(*) FILTER (WHERE unit IS NULL) AS violations,
+       count(*) FILTER (WHERE unit IS NULL) = 0 AS passed FROM standard GROUP BY year
+UNION ALL
+SELECT year, 'standard', 'accepted_values', 'month', count(*) FILTER (WHERE month NOT BETWEEN 2 AND 11), count(*) FILTER (WHERE month NOT BETWEEN 2 AND 11) = 0
+FROM standard GROUP BY year
+UNION ALL
+SELECT year, 'standard', 'unique', 'date,market,commodity,pricetype', count(*) FILTER (WHERE n > 1), count(*) FILTER (WHERE n > 1) = 0
+FROM (SELECT year, count(*) AS n FROM standard GROUP BY year, date, market, commodity, pricetype) GROUP BY year
+UNION ALL
+SELECT CAST(date_id // 10000 AS INTEGER), 'fact', 'relationship', 'market_id', count(*) FILTER (WHERE orphan), count(*) FILTER (WHERE orphan) = 0
+FROM (SELECT date_id, market_id NOT IN (SELECT market_id FROM markets WHERE source_market_id % 5 <> 0) AS orphan FROM facts) GROUP BY 1""",
 }
 
 

@@ -135,22 +135,27 @@ def standardise(df: DataFrame, strict_tokens: bool = False, fmt: str = DAY_FORMA
     )
 
 
-def counters(df: DataFrame, keys: Iterable[str] = CLEAN_KEY, fmt: str = DAY_FORMAT) -> DataFrame:
+def counters(df: DataFrame, keys: Iterable[str] = CLEAN_KEY, fmt: str = DAY_FORMAT, kept: int | None = None) -> DataFrame:
     """``counter, rows``: what cleaning takes away. Dates and prices that fail or are zero, and rows that repeat a key.
 
-    ``df`` holds the observations as scanned. Missing values are not failures, so the two can be told apart.
+    ``df`` holds the observations as scanned. Missing values are not failures, so the two can be told apart. With ``kept``,
+    the number of rows that cleaning left, repeats are counted without cleaning again.
     """
     named = standard_names(df)
     measures = {}
     if "date" in named.columns:
-        measures["dates_failed"] = F.col("date").isNotNull() & parse_day(F.col("date"), fmt).isNull()
+        measures["dates_failed"] = F.count_if(F.col("date").isNotNull() & parse_day(F.col("date"), fmt).isNull())
     for c in PRICE_COLUMNS:
         if c in named.columns:
-            measures[f"{c}_failed"] = F.col(c).isNotNull() & parse_amount(F.col(c)).isNull()
-            measures[f"{c}_zero"] = parse_amount(F.col(c)) == 0
-    seen = named.agg(*[F.count_if(m).alias(name) for name, m in measures.items()])
-    rows = [F.struct(F.lit(name).alias("counter"), F.col(name).alias("rows")) for name in measures]
+            measures[f"{c}_failed"] = F.count_if(F.col(c).isNotNull() & parse_amount(F.col(c)).isNull())
+            measures[f"{c}_zero"] = F.count_if(parse_amount(F.col(c)) == 0)
+    if kept is not None:
+        measures["duplicates_removed"] = F.count(F.lit(1)) - kept
+    seen = named.agg(*[m.alias(name) for name, m in measures.items()])
+    counted = seen.select(F.inline(F.array(*[F.struct(F.lit(name).alias("counter"), F.col(name).alias("rows")) for name in measures])))
+    if kept is not None:
+        return counted
     cleaned = standardise(df, fmt=fmt)
     present = [k for k in keys if k in cleaned.columns]
     repeats = cleaned.groupBy(*present).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("rows"))
-    return seen.select(F.inline(F.array(*rows))).unionByName(repeats.select(F.lit("duplicates_removed").alias("counter"), "rows"))
+    return counted.unionByName(repeats.select(F.lit("duplicates_removed").alias("counter"), "rows"))

@@ -184,36 +184,43 @@ def accepted_values(column: str, values: Iterable) -> ColumnTest:
     return ColumnTest("accepted_values", column, ~F.col(column).isin(*values))
 
 
-def _result(table: Column | str, test: str, column: str, violations: Column) -> Column:
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        F.lit(test).alias("test"),
-        F.lit(column).alias("column_name"),
-        violations.alias("violations"),
-        (violations == 0).alias("passed"),
-    )
+def _results(counted: DataFrame, table: str, by: str | None, tests: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One result row per test (name, column, column of ``counted`` with its violations), and per value of ``by``."""
+    rows = [
+        F.struct(F.lit(table).alias("table_name"), F.lit(test).alias("test"), F.lit(column).alias("column_name"),
+                 F.col(count).alias("violations"), (F.col(count) == 0).alias("passed"))
+        for test, column, count in tests
+    ]
+    return counted.select(*([by] if by else []), F.inline(F.array(*rows)))
 
 
-def column_tests(df: DataFrame, table: str, tests: Sequence[ColumnTest]) -> DataFrame:
-    """All tests of one table in a single aggregate; one result row per test."""
-    counted = df.agg(*[F.count_if(t.violation).alias(f"v{i}") for i, t in enumerate(tests)])
-    return counted.select(
-        F.inline(F.array(*[_result(table, t.test, t.column, F.col(f"v{i}")) for i, t in enumerate(tests)]))
-    )
+def _grouped(df: DataFrame, by: str | None):
+    return df.groupBy(*([by] if by else []))
+
+
+def column_tests(df: DataFrame, table: str, tests: Sequence[ColumnTest], by: str | None = None) -> DataFrame:
+    """All tests of one table in a single aggregate; one result row per test, and per value of ``by`` if given."""
+    counted = _grouped(df, by).agg(*[F.count_if(t.violation).alias(f"v{i}") for i, t in enumerate(tests)])
+    return _results(counted, table, by, [(t.test, t.column, f"v{i}") for i, t in enumerate(tests)])
 
 
-def unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
-    """Keys held by more than one row; NULL key parts count as equal."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("v"))
-    return repeated.select(F.inline(F.array(_result(table, "unique", ",".join(keys), F.col("v")))))
+def unique(df: DataFrame, table: str, keys: Sequence[str], by: str | None = None) -> DataFrame:
+    """Keys held by more than one row; NULL key parts count as equal. ``by`` must follow from the key, as its year does."""
+    repeated = df.groupBy(*keys, *([by] if by and by not in keys else [])).agg(F.count(F.lit(1)).alias("n"))
+    counted = _grouped(repeated, by).agg(F.count_if(F.col("n") > 1).alias("v"))
+    return _results(counted, table, by, [("unique", ",".join(keys), "v")])
 
 
-def relationship(child: DataFrame, table: str, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+def relationship(child: DataFrame, table: str, key: str, parent: DataFrame, parent_key: str, by: str | None = None) -> DataFrame:
     """Rows whose ``key`` has no parent. Counted per key first, so hot keys are one row in the join."""
-    keys = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    orphans = keys.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
-    counted = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("v"))
-    return counted.select(F.inline(F.array(_result(table, "relationship", key, F.col("v")))))
+    keys = child.where(F.col(key).isNotNull()).groupBy(*([by] if by else []), key).agg(F.count(F.lit(1)).alias("n"))
+    held = parent.select(F.col(parent_key).alias("_parent"))
+    if by is None:
+        counted = keys.join(held, keys[key] == held["_parent"], "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("v"))
+    else:  # values of ``by`` without orphans are results too
+        matched = keys.join(held.distinct(), keys[key] == held["_parent"], "left")
+        counted = matched.groupBy(by).agg(F.sum(F.when(F.col("_parent").isNull(), F.col("n")).otherwise(0)).alias("v"))
+    return _results(counted, table, by, [("relationship", key, "v")])
 
 
 def split_rejects(df: DataFrame, required: Sequence[str], types: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:

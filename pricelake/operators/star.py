@@ -72,6 +72,31 @@ def new_members(candidates: DataFrame, existing: DataFrame, key: Iterable[str])
     return unseen(candidates, existing, key)
 
 
+def free_keys(fresh: DataFrame, held: DataFrame, key: Iterable[str], surrogate: str, rounds: int = 20) -> DataFrame:
+    """``fresh`` members with a surrogate key that neither ``held`` nor another of them has.
+
+    Where two members hash alike, the first by its business key keeps the number and the others take the next of their
+    own sequence of salted hashes. Both sides should be stored: every round reads them.
+    """
+    key = list(key)
+    text = row_fingerprint(*[F.col(k) for k in key])
+    keyed = fresh.withColumn("_salt", F.lit(0))
+    for _ in range(rounds):
+        taken = held.select(F.col(surrogate).alias("_taken"))
+        place = F.row_number().over(Window.partitionBy(surrogate).orderBy("_salt", text))
+        # A number shared by many members at once is many equal hashes; a window per number holds those few.
+        marked = keyed.withColumn("_place", place).join(taken, F.col(surrogate) == F.col("_taken"), "left")
+        again = (F.col("_place") > 1) | F.col("_taken").isNotNull()
+        if marked.where(again).isEmpty():
+            return keyed.drop("_salt")
+        salted = hash_key(*[F.col(k) for k in key], F.col("_salt") + 1)
+        keyed = marked.select(
+            *[F.when(again, salted).otherwise(F.col(c)).alias(c) if c == surrogate else F.col(c) for c in fresh.columns],
+            F.when(again, F.col("_salt") + 1).otherwise(F.col("_salt")).alias("_salt"),
+        )
+    raise ValueError(f"no free {surrogate} after {rounds} rounds")
+
+
 def facts(
     staged: DataFrame,
     dates: DataFrame,

@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def file_stats(
-    cleaned: DataFrame, file: str = "source_file", checks: Iterable = (), counters: Mapping[str, int] | None = None
+    cleaned: DataFrame, file: str = "source_file", checks: Iterable = (), counters: Mapping[str, int] | None = None,
+    mirror_error: str | None = None,
 ) -> DataFrame:
     """file_name and ``stats``, a variant with the row counts and an array of quality notes.
 
-    ``checks`` (rows of the quality report) and ``counters`` are of the whole load; the record of every file holds them.
+    ``checks`` (rows of the quality report), ``counters`` and why the second target failed are of the whole load; the
+    record of every file holds them.
     """
     counts = cleaned.groupBy(F.col(file).alias("file_name")).agg(
         F.count(F.lit(1)).alias("rows"),
@@ -39,6 +41,8 @@ def file_stats(
         of_load.append(F.array(*made).alias("checks"))
     if counters:
         of_load.append(F.struct(*[F.lit(n).alias(name) for name, n in counters.items()]).alias("cleaning"))
+    if mirror_error:
+        of_load.append(F.lit(mirror_error).alias("mirror_error"))
     record = F.struct("rows", "valid", notes.alias("quality_notes"), *of_load)
     return counts.select("file_name", F.parse_json(F.to_json(record)).alias("stats"))
 

@@ -46,6 +46,12 @@ def stg_view(staging: DataFrame) -> DataFrame:
     return staging.where(VIEW_FILTER).selectExpr(*view_expressions())
 
 
+def with_month_start(view: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first day of the month, where ``keys`` ask for it and the rows do not have it."""
+    missing = "month_start" in keys and "month_start" not in view.columns
+    return view.withColumn("month_start", month_start(F.col("date"))) if missing else view
+
+
 def mart_monthly(
     view: DataFrame,
     keys: Sequence[str] = MONTHLY_KEY,
@@ -63,9 +69,7 @@ def mart_monthly(
         F.count(F.lit(1)).alias("num_observations"),
         F.count_distinct(place).alias(f"num_{place}s"),
     ]
-    if "month_start" in keys and "month_start" not in view.columns:
-        view = view.withColumn("month_start", month_start(F.col("date")))
-    return view.groupBy(*keys).agg(*measures)
+    return with_month_start(view, keys).groupBy(*keys).agg(*measures)
 
 
 def mart_trend(

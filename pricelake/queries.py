@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .functions.dates import month_start
 from .operators import cleaning, quality, star
 from .operators.matching import dates_of, on_dates, unseen
-from .plans import clean_queries, dashboards, data_tests, load_log, marts, raw_queries
+from .plans import clean_queries, dashboards, data_tests, load_log, marts, monthly_state, raw_queries
 from .plans.load_job import mirror_shape, raw_shape
 from .schemas import (
     CLEAN_KEY, CLEAN_NAMES, COMMODITY_KEY, FACT_KEY, FILE_KEY, MARKET_KEY, MONTHLY_KEY, RAW_COLUMNS, STAGING_KEY,
 )
 from .scratch import Scratch
 from .session import CODE_LIMIT
-from .sources import sample_tables
+from .sources import files, sample_tables
 from .sources.tables import as_of
 
 # What the names in the reports stand for in the sample tables.
@@ -338,6 +338,43 @@ def _odd(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     return lambda x: build(Inputs(x.spark, x.folder, odd=True))
 
 
+def scan_broken(x: Inputs) -> DataFrame:
+    """Lines of the documents as records of three fields: some quoted well, some never closed, some as they are."""
+    texts = x.table("documents").select("doc_id", "lang", F.explode(F.split(F.replace("text", F.lit('"'), F.lit("")), "\n")).alias("body"))
+    quoted = F.concat(F.lit('"'), F.replace("body", F.lit("a"), F.lit('a""')), F.lit('"'))
+    body = F.when(F.col("doc_id") % 3 == 0, quoted).when(F.col("doc_id") % 3 == 1, F.concat(F.lit('"'), "body")).otherwise(F.col("body"))
+    lines = texts.select(F.concat_ws(",", "doc_id", "lang", body).alias("line"))
+    parsed = files.parse_lines(lines, ("doc_id", "lang", "body"))
+    return parsed.groupBy("fault").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("body")), F.lit(0)).alias("letters"))
+
+
+def mart_monthly_merged(x: Inputs) -> DataFrame:
+    """The monthly mart from sums of three loads, merged one by one."""
+    x.keep()
+    view = x.view.withColumn("load_no", F.pmod(F.xxhash64("market", "date"), F.lit(3)))
+    parts = [view.where(f"load_no = {k}") for k in range(3)]
+    state = monthly_state.sums(parts[0])
+    for part in parts[1:]:
+        state = monthly_state.merged(state.unionByName(monthly_state.sums(part)))
+    pairs = data_tests.union([monthly_state.places(part) for part in parts]).distinct()
+    return monthly_state.mart(state, pairs)
+
+
+def _tests_by_year(x: Inputs) -> DataFrame:
+    """Tests counted per year, over rows that break them."""
+    x.keep()
+    facts = x.facts.withColumn("year", F.floor(F.col("date_id") / 10000).cast("int"))
+    markets = x.markets.where(F.col("source_market_id") % 5 != 0)
+    tests = [quality.not_null("unit"), quality.accepted_values("month", range(2, 12))]
+    return data_tests.union(
+        [
+            quality.column_tests(x.standard, "standard", tests, "year"),
+            quality.unique(x.standard, "standard", CLEAN_KEY, "year"),
+            quality.relationship(facts, "fact", "market_id", markets, "market_id", "year"),
+        ]
+    )
+
+
 def staging_rejects(x: Inputs) -> DataFrame:
     return x.rejects.select("price_date", "market", "commodity", "unit", "pricetype", "reason")
 
@@ -345,6 +382,7 @@ def staging_rejects(x: Inputs) -> DataFrame:
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # scan, clean
     "scan_obs": lambda x: x.scanned,
+    "scan_broken": scan_broken,
     "load_raw": load_raw,
     "raw_by_file": raw_by_file,
     "clean_rename": clean_rename,
@@ -368,6 +406,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "mirror_upper": mirror_upper,
     "stg_view": valid_rows,
     "mart_monthly": lambda x: x.monthly,
+    "mart_monthly_merged": mart_monthly_merged,
     "mart_monthly_by_category": mart_monthly_by_category,
     "mart_trend": lambda x: x.trend,
     "mart_trend_by_series": mart_trend_by_series,
@@ -423,6 +462,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "broken_columns": _odd(_broken_columns),
     "broken_keys": _broken_keys,
     "broken_relationship": _broken_relationship,
+    "tests_by_year": _tests_by_year,
     "quality_report_broken": _odd(lambda x: quality.report(x.standard)),
 }
 

@@ -56,7 +56,7 @@ FACT_KEY = ("date_id", "market_id", "commodity_id", "pricetype")
 MONTHLY_KEY = ("year", "month", "month_start", "county", "commodity", "unit")
 
 
-def _table(columns: dict[str, str]) -> T.StructType:
+def _table(columns: dict[str, str | T.DataType]) -> T.StructType:
     schema = T.StructType()
     for name, dtype in columns.items():
         schema = schema.add(name, dtype)
@@ -95,7 +95,7 @@ _STAMPED = {"loaded_at": "timestamp_ntz", "year": "integer"}
 
 STAGING_TABLE = _table(_STAGED | _STAMPED)
 REJECTS_TABLE = _table(
-    _STAGED | {c: WIDE_PRICE for c in (*PRICE_COLUMNS, "price_per_kg")} | {"reason": "string"} | _FILE | _STAMPED
+    _STAGED | {c: WIDE_PRICE for c in (*PRICE_COLUMNS, "price_per_kg")} | {"reason": "string", "line": "string"} | _FILE | _STAMPED
 )
 
 DIM_MARKET_TABLE = _table(
@@ -152,3 +152,12 @@ FACT_TABLE = _table(
 )
 
 METADATA_TABLE = _table({"file_name": "string", "loaded_at": "timestamp_ntz", "stats": "variant"})
+
+# Steps of the loads, the files they brought, and counts of violations by test and year.
+JOURNAL_TABLE = _table(
+    {"load_id": "string", "step": "string", "moment": "timestamp_ntz", "years": T.ArrayType(T.IntegerType()), "detail": "string", "at": "timestamp_ntz"}
+)
+FILES_TABLE = _table(_FILE | {"loaded_at": "timestamp_ntz", "load_id": "string"})
+TESTS_TABLE = _table(
+    {"table_name": "string", "test": "string", "column_name": "string", "year": "integer", "violations": "long", "tested_at": "timestamp_ntz"}
+)

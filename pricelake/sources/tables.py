@@ -32,6 +32,26 @@ class Layers:
     def metadata(self) -> str:
         return self.name("raw", "raw_metadata")
 
+    @property
+    def journal(self) -> str:
+        return self.name("raw", "load_journal")
+
+    @property
+    def files(self) -> str:
+        return self.name("raw", "load_files")
+
+    @property
+    def tests(self) -> str:
+        return self.name("marts", "data_tests")
+
+    @property
+    def monthly_sums(self) -> str:
+        return self.name("marts", "monthly_sums")
+
+    @property
+    def monthly_places(self) -> str:
+        return self.name("marts", "monthly_places")
+
     @property
     def staging(self) -> str:
         return self.name("staging", "stg_food_prices")
@@ -77,8 +97,8 @@ class Layers:
         return [f"{self.prefix}{d}" for d in ("raw", "staging", "warehouse", "analytics", "marts", "mirror")]
 
 
-# The property of a view that tells which build of every year it shows.
-BUILDS = "pricelake.builds"
+# The properties of a view that tell which build of every year it shows, and the newest load in each.
+BUILDS, THROUGH = "pricelake.builds", "pricelake.through"
 
 # The row order inside the raw files, kept with the raw rows so that cleaning reads the table only.
 ROW_SEQ = T.StructType().add("file_time", "timestamp").add("file", "string").add("block", "long").add("position", "long")
@@ -92,6 +112,9 @@ def _definitions(layers: Layers) -> list[tuple[str, T.StructType, str | None]]:
     return [
         (layers.raw, RAW_STORED, "load_id"),
         (layers.metadata, S.METADATA_TABLE, None),
+        (layers.journal, S.JOURNAL_TABLE, None),
+        (layers.files, S.FILES_TABLE, "load_id"),
+        (layers.tests, S.TESTS_TABLE, None),
         (layers.staging, S.STAGING_TABLE, "year"),
         (layers.rejects, REJECTS_STORED, "load_id"),
         (layers.dim_date, S.DIM_DATE_TABLE, None),
@@ -170,31 +193,22 @@ def append_rows(
     return seen.get["rows"]
 
 
-def append_files(df: DataFrame, name: str, load_id: str, moment: datetime | None = None) -> int:
-    """Append rows of files that the table does not hold yet.
-
-    A file is its path and time, so equal names in other folders are other files, and a file that changed comes in
-    again beside its older rows. An append is whole or not there, so a load that was lost can be run again.
-    """
-    spark = df.sparkSession
-    held = spark.table(name).select(*S.FILE_KEY).distinct()
-    fresh = df.join(held, on=[df[c].eqNullSafe(held[c]) for c in S.FILE_KEY], how="left_anti")
-    return append_rows(fresh.withColumn("load_id", F.lit(load_id)), name, moment=moment)
-
-
 def publish_view(spark: SparkSession, name: str, source: str, expressions: Iterable[str], where: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(expressions)} FROM {source} WHERE {where}")
 
 
-def write_version(df: DataFrame, name: str, sort_within: Sequence[str] = ()) -> str:
-    """Write rows as a new version of a published table, which readers do not see yet; returns the version's name.
+def clustered(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows dealt out by ranges of ``order`` and sorted inside each: files of one write do not overlap, so a filter on
+    its first columns skips most of them. A stored table has no other order."""
+    columns = [F.col(c).asc_nulls_first() for c in order]
+    return df.repartitionByRange(*columns).sortWithinPartitions(*columns) if columns else df
 
-    Rows are sorted inside each file only, for min/max skipping: a stored table has no order.
-    """
+
+def write_version(df: DataFrame, name: str, order: Sequence[str] = ()) -> str:
+    """Write rows, clustered by ``order``, as a new version of a published table, which readers do not see yet."""
     version = f"{name}__v{uuid.uuid4().hex[:8]}"
-    rows = df.sortWithinPartitions(*sort_within) if sort_within else df
     try:
-        rows.write.format("parquet").saveAsTable(version)
+        clustered(df, order).write.format("parquet").saveAsTable(version)
     except Exception:
         df.sparkSession.sql(f"DROP TABLE IF EXISTS {version}")
         raise
@@ -217,29 +231,50 @@ def switch(spark: SparkSession, name: str, version: str) -> DataFrame:
     return spark.table(name)
 
 
-def published_builds(spark: SparkSession, name: str) -> dict[int, str]:
-    """Which build of every year readers of a table published by year see."""
+def _property(spark: SparkSession, name: str, key: str) -> dict[int, str]:
     if not spark.catalog.tableExists(name):
         return {}
     held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    return {int(year): build for year, build in json.loads(held.get(BUILDS, "{}")).items()}
+    return {int(year): value for year, value in json.loads(held.get(key, "{}")).items()}
+
+
+def published_builds(spark: SparkSession, name: str) -> dict[int, str]:
+    """Which build of every year readers of a table published by year see."""
+    return _property(spark, name, BUILDS)
+
 
+def published_through(spark: SparkSession, name: str) -> dict[int, datetime]:
+    """The stamp of the newest rows in every year's build, where it is known."""
+    return {year: datetime.fromisoformat(text) for year, text in _property(spark, name, THROUGH).items()}
 
-def write_years(df: DataFrame, name: str, build: str, sort_within: Sequence[str] = ()) -> list[int]:
-    """Write the rows of some years as a new build, which readers do not see yet; returns the years."""
+
+def write_years(df: DataFrame, name: str, build: str, order: Sequence[str] = ()) -> list[int]:
+    """Write the rows of some years, clustered by ``order``, as a new build, which readers do not see yet; returns the years."""
     spark, data = df.sparkSession, f"{name}__data"
     columns = [c for c in df.columns if c != "year"]
-    rows = df.select(*columns, F.lit(build).alias("build"), "year")
-    rows = rows.sortWithinPartitions(*sort_within) if sort_within else rows
+    rows = clustered(df.select(*columns, F.lit(build).alias("build"), "year"), ("year", *order) if order else ())
     rows.write.format("parquet").mode("append").partitionBy("build", "year").saveAsTable(data)
     return sorted(r[0] for r in spark.table(data).where(F.col("build") == build).select("year").distinct().collect())  # a calendar's worth
 
 
+def of_builds(spark: SparkSession, name: str, builds: dict[int, str]) -> DataFrame:
+    """The stored rows of these builds, one per year."""
+    return spark.table(f"{name}__data").where(build_expression(builds)).drop("build")
+
+
 def drop_build(spark: SparkSession, name: str, build: str, years: Iterable[int]) -> None:
     for year in years:
         spark.sql(f"ALTER TABLE {name}__data DROP IF EXISTS PARTITION (build = '{build}', year = {year})")
 
 
+def drop_builds_but(spark: SparkSession, name: str, kept: set[tuple[int, str]]) -> None:
+    """Drop the builds of a table published by year that are not among ``kept`` (year, build)."""
+    for (spec,) in spark.sql(f"SHOW PARTITIONS {name}__data").collect():  # years times kept builds
+        build, year = (part.split("=", 1)[1] for part in spec.split("/"))
+        if (int(year), build) not in kept:
+            drop_build(spark, name, build, [int(year)])
+
+
 def build_expression(builds: dict[int, str]) -> Column:
     """The rows that belong to their year's build."""
     by: dict[str, list[int]] = {}
@@ -248,23 +283,21 @@ def build_expression(builds: dict[int, str]) -> Column:
     return reduce(lambda a, b: a | b, ((F.col("build") == build) & F.col("year").isin(years) for build, years in by.items()), F.lit(False))
 
 
-def switch_years(spark: SparkSession, name: str, builds: dict[int, str], columns: Sequence[str]) -> DataFrame:
-    """Show every year's build to the readers of ``name`` in one statement, then drop the builds before."""
-    before, by = published_builds(spark, name), {}
+def switch_years(spark: SparkSession, name: str, builds: dict[int, str], columns: Sequence[str], through: dict[int, datetime] | None = None) -> DataFrame:
+    """Show every year's build to the readers of ``name`` in one statement; the builds before stay until they are dropped."""
+    by: dict[str, list[str]] = {}
     for year, build in builds.items():
         by.setdefault(build, []).append(str(year))
     where = " OR ".join(f"(build = '{build}' AND year IN ({', '.join(years)}))" for build, years in by.items()) or "false"
-    known = json.dumps({str(year): build for year, build in builds.items()})
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{BUILDS}' = '{known}') AS SELECT {', '.join(columns)} FROM {name}__data WHERE {where}")
-    for year, build in before.items():
-        if builds.get(year) != build:
-            drop_build(spark, name, build, [year])
+    known = {BUILDS: builds, THROUGH: {year: moment.isoformat() for year, moment in (through or {}).items()}}
+    properties = ", ".join(f"'{key}' = '{json.dumps({str(y): v for y, v in value.items()})}'" for key, value in known.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({properties}) AS SELECT {', '.join(columns)} FROM {name}__data WHERE {where}")
     return spark.table(name)
 
 
-def publish_table(df: DataFrame, name: str, sort_within: Sequence[str] = ()) -> DataFrame:
+def publish_table(df: DataFrame, name: str, order: Sequence[str] = ()) -> DataFrame:
     """Build the rows into a new version, then show it in one switch."""
-    return switch(df.sparkSession, name, write_version(df, name, sort_within))
+    return switch(df.sparkSession, name, write_version(df, name, order))
 
 
 def keep_result(df: DataFrame, name: str) -> DataFrame:

@@ -12,10 +12,11 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.load_job import build_marts, load_batch
+from ..plans.load_job import build_marts, load_batch, writer
 from ..schemas import CLEAN_KEY
 from ..session import tuned
 from ..sources import tables
+from ..sources.files import exact_paths
 from ..sources.tables import Layers
 
 # The fixed columns of Spark's binaryFile source.
@@ -39,6 +40,7 @@ def load_new_files(
     keys: Iterable[str] = CLEAN_KEY,
     mirror: bool = False,
     trend_pattern: str = "%maize%",
+    wait: float = 600.0,
 ) -> StreamingQuery:
     """Load every file that has arrived since the last call, rebuild the marts, then stop; returns the started query."""
     tables.ensure_tables(spark, layers)
@@ -46,9 +48,10 @@ def load_new_files(
     def load(batch: DataFrame, batch_id: int) -> None:
         paths = [r["path"] for r in batch.collect()]  # at most ``per_batch`` file names
         if paths:
-            with tuned(spark):
-                counts = load_batch(spark, paths, layers, dates, keys, mirror)
-                build_marts(spark, layers, trend_pattern, counts["years"])
+            with tuned(spark), writer(spark, layers, wait) as lock:
+                counts = load_batch(spark, exact_paths(paths), layers, dates, keys, mirror)
+                lock.check()
+                build_marts(spark, layers, trend_pattern, counts["years"], counts["loads"])
 
-    writer = new_files(spark, folder, pattern, per_batch).writeStream.foreachBatch(load)
-    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    stream = new_files(spark, folder, pattern, per_batch).writeStream.foreachBatch(load)
+    return stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
