@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from llm_fixtures import docs_of, scratch  # noqa: F401
 from pricelake.llm import graph, jaccard, lines
@@ -157,12 +158,20 @@ def test_block_keys_find_every_near_hash():
             assert set(keys[0]) & set(keys[1])
 
 
+def row_hash(text):
+    """Spark's xxhash64 of a text."""
+    return int.from_bytes(xxhash.xxh64_digest((text or "").encode(), seed=42), "big", signed=True)
+
+
 def line_truth(rows):
     """Groups of lines by brute force: (id, text, line) -> first occurrence."""
-    places = sorted({(i is not None, i or 0, lines.line_number(t or ""), n, x) for i, t, _ in rows for n, x in enumerate(lines.normal_lines(t or "")) if x})
+    places = sorted({(i is not None, i or 0, row_hash(t), n, x) for i, t, _ in rows for n, x in enumerate(lines.normal_lines(t or "")) if x})
     classes = sorted({p[4] for p in places})
-    hashes = dict(zip(classes, lines.simhashes(classes).tolist())) if classes else {}
-    linked = [(a, b) for a in classes for b in classes if a < b and (hashes[a] ^ hashes[b]).bit_count() <= lines.BITS and lines.alike(a, b)]
+    hashes = lines.simhashes(classes)
+    sketches = lines.sketches(classes, hashes).view(np.int64)
+    meet = lambda a, b: (np.bitwise_count(hashes[a] ^ hashes[b]) <= lines.BITS).any() and lines.near_sketches(sketches[a], sketches[b : b + 1])[0]
+    able = [k for k, line in enumerate(classes) if len(line) >= lines.ALONE]
+    linked = [(classes[a], classes[b]) for a in able for b in able if a < b and meet(a, b) and lines.alike(classes[a], classes[b])]
     least = closed(classes, linked)
     first = {}
     for p in places:
@@ -170,10 +179,15 @@ def line_truth(rows):
     return {p[:4]: first[least[p[4]]] == p[:4] for p in places}
 
 
+def letter_variants(rng, count):
+    base = " ".join(rng.choice(WORDS) for _ in range(90))
+    return [base[:at] + rng.choice("xyz") + base[at + 1 :] for at in (rng.randrange(len(base)) for _ in range(count))]
+
+
 def line_rows():
     rng = random.Random(7)
     pool = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 40))) for _ in range(60)]
-    pool += variants(rng, 30, 60, 1) + [p.upper() + "!" for p in pool[:10]] + ["", "...", "the " * 50 + "end", "the " * 49 + "end"]
+    pool += letter_variants(rng, 30) + [p.upper() + "!" for p in pool[:10]] + ["", "...", "the " * 50 + "end", "the " * 49 + "end"]
     rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 6))), "s") for i in range(80)]
     return rows + [(3, pool[0], "s"), (5, rows[5][1], "s"), (None, pool[1] + "\n" + pool[2], "s"), (200, None, "s"), (201, "", "s"), (202, "only\x0b " + "long " * 20000, "s")]
 
@@ -194,7 +208,7 @@ def test_dedup_takes_lines_away(spark, docs_of):
     assert left.columns == docs.columns
     expected = []
     for i, text, _ in rows:
-        own = [(x, kept.get((i is not None, i or 0, lines.line_number(text or ""), n), True)) for n, x in enumerate((text or "").split("\n"))]
+        own = [(x, kept.get((i is not None, i or 0, row_hash(text), n), True)) for n, x in enumerate((text or "").split("\n"))]
         after = "\n".join(x for x, keep in own if keep)
         if text is None or all(keep for _, keep in own):
             expected.append((i, text))
@@ -203,26 +217,39 @@ def test_dedup_takes_lines_away(spark, docs_of):
     assert sorted(map(str, ((r["doc_id"], r["text"]) for r in left.collect()))) == sorted(map(str, expected))
 
 
-def test_wide_line_groups_follow_edit_similarity(spark, docs_of):
+def test_line_groups_find_edit_similarity(spark, docs_of):
+    """Against edit similarity alone, at its very bound: nothing below it is linked, and most of what reaches it is."""
     rng = random.Random(8)
-    texts = []
-    for size in (8, 12, 20, 30, 50, 80):
-        for _ in range(8):
-            words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8))) for _ in range(size)]
-            texts.append(" ".join(words))
-            at = rng.randrange(size)
-            texts.append(" ".join([*words[:at], words[at][:-1] + "z", *words[at + 1 :]]))  # one letter
-            for k in rng.sample(range(size), size // 15):
-                words[k] = words[k][::-1]
-            texts.append(" ".join(words))
-            texts.append("x" * (len(texts[-1]) // 2) + " " + texts[-1][len(texts[-1]) // 2 :])  # not alike
-    rows = [(i, text, "s") for i, text in enumerate(texts)]
-    classes = sorted(set(texts))
-    least = closed(classes, [(a, b) for a in classes for b in classes if a < b and lines.alike(a, b)])
-    first = {}
-    for i, text, _ in rows:
-        first.setdefault(least[text], i)
-    expected = {i: first[least[text]] for i, text, _ in rows}
-    assert {r["id"]: r["first"]["id"] for r in lines.line_groups(docs_of(rows), wide=True).collect()} == expected
-    narrow = {r["id"]: r["first"]["id"] for r in lines.line_groups(docs_of(rows)).collect()}
-    assert sum(narrow[i] != f for i, f in expected.items()) > 20
+    rows, pairs = [], {}
+    for low, high in ((100, 199), (200, 399), (400, 800)):
+        for k in range(60):
+            line = ""
+            while len(line) < rng.randint(low, high):
+                line += "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) + " "
+            line = line.strip()
+            most = int((1 - lines.SIMILARITY) * len(line) + 1e-9)
+            for edits, apart in ((most, False), (5 * most + 5, True)):
+                other = list(line)
+                for at in rng.sample([i for i, c in enumerate(line) if c != " "], edits):
+                    other[at] = "z"
+                pairs[len(rows)] = (low, apart)
+                rows += [(len(rows), f"{k} {low} {apart} {line}"[: len(line)], "s"), (len(rows) + 1, f"{k} {low} {apart} {''.join(other)}"[: len(line)], "s")]
+    found = {r["id"]: r["first"]["id"] for r in lines.line_groups(docs_of(rows)).collect()}
+    reached = {i: lines.alike(*(lines.normal_lines(rows[j][1])[0] for j in (i, i + 1))) for i in pairs}
+    assert all(found[i + 1] == i + 1 for i in pairs if not reached[i])
+    for low in (100, 200, 400):
+        hits = [found[i + 1] == i for i, (size, apart) in pairs.items() if size == low and not apart and reached[i]]
+        assert len(hits) > 50 and np.mean(hits) > 0.75, (low, np.mean(hits))
+
+
+def test_equal_ids_meet_their_own_text_only(spark, docs_of):
+    rows = [(None, f"{k} " + "some words that many lines of this text share " * 4, "s") for k in range(300)]
+    docs = docs_of(rows)
+    text = lines.F.col("text")
+    given = docs.select(lines.F.col("doc_id").alias("id"), "text", lines.text_hash(text).alias("row"))
+    wanted = given.select("id", "row", lines.F.lit(0).alias("line"), lines.F.xxhash64("row").alias("class"))
+    plan = lines._texts(given, wanted)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("row#" in line and "hash#" in line for line in joins)
+    assert lines._texts(given, wanted).count() == 300
+    assert sum(r["kept"] for r in lines.line_groups(docs).collect()) >= 1
