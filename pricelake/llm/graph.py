@@ -43,9 +43,10 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     Up to ``LOCAL_EDGES`` edges are put together by one task; more of them by alternating stars, with the same result.
     """
     edges = scratch.store(edges.select("a", "b"), f"{name}-given")
-    if edges.count() <= LOCAL_EDGES:
-        return scratch.store(edges.coalesce(1).mapInArrow(_forest, "node long, component long"), name)
-    return star_components(scratch, edges, name)
+    few = edges.count() <= LOCAL_EDGES
+    found = scratch.store(edges.coalesce(1).mapInArrow(_forest, "node long, component long"), name) if few else star_components(scratch, edges, name)
+    scratch.drop(f"{name}-given")
+    return found
 
 
 def star_components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
@@ -94,6 +95,7 @@ def linked(scratch: Scratch, lists: DataFrame, verify: Callable[[DataFrame], Dat
     alike = lists.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     alike = scratch.store(alike.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), f"{name}-alike")
     lists = scratch.store(lists.join(alike.hint("merge"), "key"), f"{name}-lists")
+    scratch.drop(f"{name}-alike")
     close = close or (lambda left, right: F.lit(True))
     edges, labels, before = None, None, None
     for turn in range(rounds + 1):
@@ -130,6 +132,12 @@ def linked(scratch: Scratch, lists: DataFrame, verify: Callable[[DataFrame], Dat
         labels = components(scratch, edges, f"{name}-components-{turn}")
         for part in ("marked", "shared", "pairs"):
             scratch.drop(f"{name}-{part}-{turn}")
+        for part in ("edges", "components"):
+            scratch.drop(f"{name}-{part}-{turn - 1}")
         if last:
             break
-    return labels if labels is not None else lists.select("node", F.col("node").alias("component")).limit(0)
+    if labels is None:
+        return lists.select("node", F.col("node").alias("component")).limit(0)
+    for part in ("lists", "several", f"marked-{turn}", f"shared-{turn}"):
+        scratch.drop(f"{name}-{part}")
+    return labels

@@ -121,14 +121,16 @@ class Plan:
 
 
 def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    """``id, text, row``: with the id, a hash of the text tells rows apart; ids may be null or repeat without end."""
+    text = F.col(f"`{text_column}`")
+    return docs.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("row"))
 
 
 SUBSETS = pa.list_(pa.struct([("key", pa.int64()), ("side", pa.int32())]))
 
 
 def _nodes(rows: DataFrame, plan: Plan) -> DataFrame:
-    """``id, size, node, subsets``; the node is null for an empty set, subsets are those of small sets."""
+    """``id, row, size, node, subsets``; the node is null for an empty set, subsets are those of small sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,9 +141,9 @@ def _nodes(rows: DataFrame, plan: Plan) -> DataFrame:
                 subsets = [{"key": key, "side": side} for key, side in plan.subset_rows(hashes)] if small else None
                 out.append((len(hashes), set_id(hashes) if len(hashes) else None, subsets))
             columns = [pa.array([row[i] for row in out], kind) for i, kind in enumerate((pa.int64(), pa.int64(), SUBSETS))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "size", "node", "subsets"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["id", "row", "size", "node", "subsets"])
 
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, size long, node long, subsets array<struct<key:long,side:int>>")
+    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, row long, size long, node long, subsets array<struct<key:long,side:int>>")
 
 
 def _listed(rows: DataFrame, plan: Plan) -> DataFrame:
@@ -215,23 +217,25 @@ def _rare(scratch: Scratch, lists: DataFrame) -> DataFrame:
     left = lists.join(sizes, "key").withColumn("rank", F.row_number().over(longest)).where("rank >= need").select("key", "node")
     left = scratch.store(left, "rare")
     several = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return scratch.store(left.join(scratch.store(several, "several").hint("merge"), "key"), "lists")
+    lists = scratch.store(left.join(scratch.store(several, "several").hint("merge"), "key"), "lists")
+    for part in ("shared", "rare", "several"):
+        scratch.drop(part)
+    return lists
 
 
 def _sets(rows: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
-    """``node, size, parity, hashes`` of the wanted nodes (id, node), computed again from their texts."""
-    picked = rows.join(wanted.withColumnRenamed("id", "wanted"), F.col("id").eqNullSafe(F.col("wanted"))).select("node", "text")
+    """``node, size, parity, hashes`` of the wanted nodes (id, row, node), computed again from their texts."""
+    named = wanted.withColumnsRenamed({"id": "wanted", "row": "hash"})
+    picked = rows.join(named, F.col("id").eqNullSafe(F.col("wanted")) & (F.col("row") == F.col("hash"))).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(text, plan.width) for text in values(batch.column(1))]
-            # An id may stand for several texts; the one that the node stands for is taken.
-            right = [i for i, (x, node) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if len(x) and set_id(x) == node]
             made = [
-                batch.column(0).take(pa.array(right, pa.int64())),
-                pa.array([len(sets[i]) for i in right], pa.int64()),
-                pa.array([parity(sets[i]).tolist() for i in right], pa.list_(pa.int64())),
-                pa.array([sets[i].tobytes() for i in right], pa.binary()),
+                batch.column(0),
+                pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([parity(x).tolist() for x in sets], pa.list_(pa.int64())),
+                pa.array([x.tobytes() for x in sets], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(made, names=["node", "size", "parity", "hashes"])
 
@@ -284,7 +288,7 @@ def _grouped(rows: DataFrame, plan: Plan, scratch: Scratch) -> tuple[DataFrame,
     small = met.join(hubs.hint("merge"), "key").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
 
     lists = _rare(scratch, _shared(_listed(rows, plan)))
-    names = info.groupBy("node").agg(F.min("id").alias("id"))
+    names = info.where("node is not null").groupBy("node").agg(F.min(F.struct("id", "row")).alias("one")).select("node", "one.id", "one.row")
     wanted = scratch.store(names.join(lists.select("node").distinct(), "node", "left_semi"), "wanted")
     sets = scratch.store(_sets(rows, wanted, plan).dropDuplicates(["node"]), "sets")
     lists = lists.join(sets.select("node", "size", "parity").hint("merge"), "node")
@@ -294,6 +298,8 @@ def _grouped(rows: DataFrame, plan: Plan, scratch: Scratch) -> tuple[DataFrame,
     groups = components(scratch, edges, "groups")
     placed = info.join(groups.hint("merge"), "node", "left").select("id", "size", "node", F.coalesce("component", "node").alias("group"))
     placed = scratch.store(placed, "placed")
+    for part in ("nodes", "subsets", "subset-hubs", "wanted", "sets", "lists"):
+        scratch.drop(part)
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("node"))
     least = placed.where("group is not null").groupBy("group").agg(F.min(order).alias("first")).select("group", F.col("first.id").alias("least"), F.col("first.node").alias("least_node"))
     return placed, scratch.store(least, "least")
