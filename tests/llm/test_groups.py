@@ -168,7 +168,7 @@ def line_truth(rows):
     places = sorted({(i is not None, i or 0, row_hash(t), n, x) for i, t, _ in rows for n, x in enumerate(lines.normal_lines(t or "")) if x})
     classes = sorted({p[4] for p in places})
     hashes = lines.simhashes(classes)
-    sketches = lines.sketches(classes, hashes).view(np.int64)
+    sketches = lines.sketches(classes).view(np.int64)
     meet = lambda a, b: (np.bitwise_count(hashes[a] ^ hashes[b]) <= lines.BITS).any() and lines.near_sketches(sketches[a], sketches[b : b + 1])[0]
     able = [k for k, line in enumerate(classes) if len(line) >= lines.ALONE]
     linked = [(classes[a], classes[b]) for a in able for b in able if a < b and meet(a, b) and lines.alike(classes[a], classes[b])]
