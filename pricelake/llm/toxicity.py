@@ -1,14 +1,17 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Three small transducers read the tokens of a clause. The lexicon turns words into symbols (insult, threat, target,
-negation, report, other). The scope transducer rewrites symbols under a negation or in reported speech. The scorer gives
-weights: an insult or a threat counts by its strength, more if it is aimed at somebody, and less if denied or reported.
-They are composed once into one table; a clause's score is the weight of its path, a text's the logistic of what
-its matched clauses add up to.
+negation, report, other); before the name of a container an insult is taken literally. The scope transducer rewrites symbols
+under a negation or in reported speech. The scorer gives weights: an insult counts by its strength, more if it is aimed at
+somebody, a threat as much as an insult once its object follows, and both less if denied or reported. They are composed
+once into one table; a clause's score is the weight of its path, a text's the logistic of what its matched clauses add
+up to.
 
 Insults are learnt from labelled texts, as whole words and as word beginnings: those whose share of toxic texts is
-beyond chance among all candidates. Threats, targets, negations and reports are short fixed lists. Labels are learnt
-from a bounded sample of rows outside the held-out fifth; score inputs are words of the text alone.
+beyond chance among all candidates. A beginning counts if ``FAMILY`` different words of toxic texts share it, so one word does
+not lend its beginning to others. Threats (as strong as the median insult), targets, negations and reports are short
+fixed lists. Labels are learnt from a bounded sample of rows outside the held-out fifth; of equal texts with different
+labels the higher counts. Score inputs are words of the text alone.
 
 Null and empty texts get the score of a text without any match. Without usable labels every score is 0. Repeated rows
 are scored one by one. Other columns are ignored.
@@ -32,11 +35,13 @@ from ..scratch import Scratch
 from .common import values
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;\n]")
-OTHER, STOP, INSULT, THREAT, TARGET, NEGATION, REPORT = range(7)
+OTHER, STOP, INSULT, THREAT, TARGET, NEGATION, REPORT, THING = range(8)
 WORDS = {
     THREAT: "kill hurt destroy burn shoot stab beat punish hang strangle",
     TARGET: "you your yours yourself him her them they he she these those people",
     NEGATION: "not no never nobody hardly without isn aren wasn don doesn didn",
+    # Nouns after which a word for refuse means refuse.
+    THING: "can cans bin bins bag bags basket collector",
     REPORT: "said says say called calls quoted quotes wrote writes claimed claims told according reported",
 }
 #: Labelled texts that the lexicon and the weights are learnt from, at most.
@@ -46,7 +51,9 @@ ENTRIES, STEMS = 2_000, (4, 5, 6)
 #: Share of toxic texts among those with a term, at least, and standard deviations of certainty in its strength.
 PURITY, CERTAINTY = 0.9, 1.96
 MOST_ODDS = 6.0
-#: Tokens that a negation reaches.
+#: Different words of toxic texts that share a beginning, at least.
+FAMILY = 3
+#: Tokens that a negation reaches, and in which a threat's object follows.
 REACH = 3
 #: Tokens whose symbols are kept per task, and terms a task counts before it passes them on.
 KEPT, HELD_TERMS = 100_000, 50_000
@@ -66,7 +73,7 @@ def scope() -> Machine:
         for left in range(REACH + 1):
             state = (reported, left)
             calm = (reported, max(left - 1, 0))
-            for symbol in (OTHER, TARGET):
+            for symbol in (OTHER, TARGET, THING):
                 step[state, symbol] = (calm, (symbol, False, False))
             for symbol in (INSULT, THREAT):
                 step[state, symbol] = (calm, (symbol, left > 0, reported))
@@ -75,19 +82,24 @@ def scope() -> Machine:
     return Machine((False, 0), step)
 
 
-def scorer(aimed: float = 0.5, denied: float = 0.2, reported: float = 0.5, threat: float = 1.0) -> Machine:
-    """Factors for the strength of a match: more once a target was named in the clause, less if denied or reported."""
-    step = {}
+def scorer(aimed: float = 0.5, denied: float = 0.2, reported: float = 0.5) -> Machine:
+    """Factors for the strength of a match: more once a target was named in the clause, less if denied or reported.
+
+    A threat gives its factor to the target that follows within ``REACH`` tokens; a target's strength is a threat's.
+    """
+    step, cuts = {}, {(under, told): (denied if under else 1.0) * (reported if told else 1.0) for under in (False, True) for told in (False, True)}
     for target in (False, True):
-        for symbol in (OTHER, NEGATION, REPORT):
-            step[target, (symbol, False, False)] = (target, 0.0)
-        step[target, (TARGET, False, False)] = (True, 0.0)
-        for under in (False, True):
-            for told in (False, True):
-                cut = (denied if under else 1.0) * (reported if told else 1.0)
-                step[target, (INSULT, under, told)] = (target, cut * (1 + aimed * target))
-                step[target, (THREAT, under, told)] = (target, cut * threat * target)  # a threat needs somebody
-    return Machine(False, step)
+        for left in range(REACH + 1):
+            for cut in {0.0, *cuts.values()} if left else {0.0}:
+                state = (target, left, cut)
+                later = (target, left - 1, cut if left > 1 else 0.0) if left else state
+                for symbol in (OTHER, NEGATION, REPORT, THING):
+                    step[state, (symbol, False, False)] = (later, 0.0)
+                step[state, (TARGET, False, False)] = ((True, 0, 0.0), cut * (1 + aimed))
+                for scope_of, factor in cuts.items():
+                    step[state, (INSULT, *scope_of)] = (later, factor * (1 + aimed * target))
+                    step[state, (THREAT, *scope_of)] = ((target, REACH, factor), 0.0)
+    return Machine((False, 0, 0.0), step)
 
 
 def compose(first: Machine, second: Machine) -> Machine:
@@ -112,6 +124,7 @@ class Grammar:
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon, self.machine = lexicon, compose(scope(), scorer())
+        self.threat = float(np.median(list(lexicon.values()))) if lexicon else 0.0
         self.fixed = {w: k for k, words in WORDS.items() for w in words.split()} | dict.fromkeys(".!?;\n", STOP)
 
     def symbols(self) -> dict[str, tuple[int, float]]:
@@ -132,11 +145,14 @@ class Grammar:
         if strength:
             return INSULT, strength
         kind = self.fixed.get(token, OTHER)
-        return kind, 1.0 if kind == THREAT else 0.0
+        return kind, self.threat if kind == TARGET else 0.0
 
     def clause_scores(self, text: str, table: dict) -> list[float]:
         """Scores of the clauses that hold an insult or a threat."""
         found = list(map(table.__getitem__, TOKEN.findall(text.lower())))
+        for i, (kind, _) in enumerate(found[:-1]):
+            if kind == INSULT and found[i + 1][0] == THING:
+                found[i] = (OTHER, 0.0)
         hits = [i for i, (kind, _) in enumerate(found) if kind == INSULT or kind == THREAT]
         scores, done = [], -1
         for hit in hits:
@@ -169,7 +185,7 @@ def _terms(text: str) -> set[str]:
     return words | {f"{w[:n]}*" for w in words for n in STEMS if len(w) >= n}
 
 
-def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> dict[str, float]:
+def learn_lexicon(sample: DataFrame, scratch: Scratch, entries: int = ENTRIES) -> dict[str, float]:
     """Strengths (log odds) of terms that mark toxic texts beyond chance, from ``sample`` (text, toxic)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,6 +210,7 @@ def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> dict[str, float]
         return {}
     share = sizes["toxic"] / (sizes["toxic"] + sizes["clean"])
     terms = sample.select("text", "toxic").mapInArrow(run, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    terms = scratch.store(terms, "terms")
     many = max(2, terms.count())
     n, k = F.col("toxic") + F.col("clean"), F.col("toxic")
     part = k / n
@@ -203,7 +220,11 @@ def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> dict[str, float]
     least = (part + z2 / (2 * n) - CERTAINTY * F.sqrt(part * (1 - part) / n + z2 / (4 * n * n))) / (1 + z2 / n)
     odds = F.log(least / (1 - least) * ((1 - share) / share))
     # Beyond chance: the likelihood ratio of the best of so many candidates would not reach this.
-    telling = terms.where((k > 0) & (part >= PURITY)).select("term", surprise.alias("surprise"), odds.alias("odds"))
+    words = terms.where((F.col("toxic") > 0) & ~F.col("term").endswith("*")).select("term")
+    stems = words.select(F.explode(F.array(*[F.when(F.length("term") >= size, F.concat(F.substring("term", 1, size), F.lit("*"))) for size in STEMS])).alias("term"))
+    families = stems.where("term IS NOT NULL").groupBy("term").count().where(F.col("count") >= FAMILY).select("term")
+    whole = terms.where(~F.col("term").endswith("*")).unionByName(terms.join(families, "term", "left_semi"))
+    telling = whole.where((k > 0) & (part >= PURITY)).select("term", surprise.alias("surprise"), odds.alias("odds"))
     rows = telling.where(F.col("surprise") > 2 * math.log(many)).orderBy(F.desc("surprise"), "term").limit(entries).collect()
     return {r["term"]: min(r["odds"], MOST_ODDS) for r in rows if r["odds"] > 0}
 
@@ -231,9 +252,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     usable = usable.groupBy(F.col(id_column).alias("id")).agg(F.max("toxic").alias("toxic"))
     chosen = usable.orderBy(F.xxhash64("id"), "id").limit(sample)  # bounded by ``sample``, so it may be broadcast
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").dropDuplicates(["text"]).select("text", F.col("toxic").cast("long").alias("toxic"))
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("text").agg(F.max("toxic").cast("long").alias("toxic"))
     rows = scratch.store(rows, "labelled")
-    lexicon = learn_lexicon(rows)
+    lexicon = learn_lexicon(rows, scratch)
     if not lexicon:
         return None
     grammar = Grammar(lexicon)

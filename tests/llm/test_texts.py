@@ -226,3 +226,42 @@ def test_native_operators_run_no_python(spark):
 
 if __name__ == "__main__":
     pytest.main([__file__])
+
+
+def test_composed_machine_is_both_in_turn():
+    first, second = toxicity.scope(), toxicity.scorer()
+    both = toxicity.compose(first, second)
+    rng = random.Random(5)
+    symbols = (toxicity.OTHER, toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT, toxicity.THING)
+    for _ in range(400):
+        a, b, c = first.start, second.start, both.start
+        for symbol in rng.choices(symbols, k=rng.randint(1, 25)):
+            a, out = first.step[a, symbol]
+            b, weight = second.step[b, out]
+            c, found = both.step[c, symbol]
+            assert (a, b) == c and weight == found
+
+
+def test_threats_need_an_object_and_refuse_is_literal():
+    grammar = toxicity.Grammar({"idiot": 4.0, "trash": 4.0, "moron": 5.0})
+    total = lambda text: sum(grammar.clause_scores(text, grammar.symbols()))
+    assert grammar.threat == 4.0 and total("I will kill you.") == total("They will hurt him") == 6.0
+    assert total("to kill time") == total("we beat eggs; you cook") == total("Please empty the trash can.") == 0
+    assert 0 < total("I will not kill you") < total("He said he would kill you") < 6.0
+    assert total("you are trash") == 6.0 and total("trash") == 4.0
+
+
+def test_a_word_does_not_lend_its_beginning(spark, docs_of):
+    rng = random.Random(6)
+    rows, marks = [], []
+    for i in range(300):
+        words = prose(rng, 20).split()
+        if i % 3 == 0:
+            words.insert(5, rng.choice(["pathetic", "worthless", "trash", *(f"zoubl{e}" for e in ("a", "on", "ette", "ir"))]))
+        rows.append((i, " ".join(words), "s"))
+        marks.append((i, int(i % 3 == 0)))
+    frame = docs_of(rows)
+    model = toxicity.learn(frame, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    texts = ["The path to the station is short.", "It is worth the money.", "A study of pathology.", "Please empty the trash can.", "how pathetic", "zoublard", "I will kill you.", ""]
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(docs_of([(i, t, "s") for i, t in enumerate(texts)]), model).collect()}
+    assert max(found[i] for i in (0, 1, 2, 3, 7)) < 0.5 < min(found[i] for i in (4, 5, 6))
