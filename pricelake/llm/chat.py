@@ -10,7 +10,8 @@ template by none, so reading back is exact. A blank on both sides keeps marks ap
 
 Turns are ordered by turn, role and text; equal rows stay. Null texts, roles and parts count as empty. A conversation is
 one output row, so its turns meet in one task; that bounds memory by the longest conversation. Null ids form one
-conversation. Other columns are ignored.
+conversation. Sizes that are missing, negative, infinite or no number count as 0, and an attachment takes one token at
+least; a part of an unknown kind counts as its text. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +40,12 @@ def unescape(text: str) -> str:
     return CONTROL.sub(lambda m: m[1][: len(m[1]) // 2] + m[2], text)
 
 
+def _size(part: dict, name: str) -> float:
+    """A size of a part; at most 10^12, so that counts of tokens stay whole numbers of 64 bits."""
+    value = part.get(name) or 0
+    return min(value, 10**12) if 0 < value < math.inf else 0
+
+
 class PartVisitor:
     """Flattens the parts of one turn; keeps what it put in and where."""
 
@@ -54,16 +61,15 @@ class PartVisitor:
         self.plain += part.get("text") or ""  # neighbours are escaped together: they may complete a control string
 
     def visit_image(self, part: dict) -> None:
-        self._attach("image", part, math.ceil((part.get("width") or 0) / PATCH) * math.ceil((part.get("height") or 0) / PATCH))
+        self._attach("image", part, math.ceil(_size(part, "width") / PATCH) * math.ceil(_size(part, "height") / PATCH))
 
     def visit_audio(self, part: dict) -> None:
-        self._attach("audio", part, math.ceil((part.get("seconds") or 0) * PER_SECOND))
+        self._attach("audio", part, math.ceil(_size(part, "seconds") * PER_SECOND))
 
     def visit_document(self, part: dict) -> None:
-        self._attach("document", part, (part.get("pages") or 0) * PER_PAGE)
+        self._attach("document", part, _size(part, "pages") * PER_PAGE)
 
-    def visit_unknown(self, part: dict) -> None:
-        raise ValueError(f"unknown kind of content part: {part['kind']}")
+    visit_unknown = visit_text
 
     def whole(self) -> str:
         return "".join(self.content) + escape(self.plain)
@@ -149,3 +155,22 @@ def digests(formatted: DataFrame, id_column: str = "conv_id") -> DataFrame:
 
 def _sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+#: What a control string costs in ``escape``: one backslash, and each one before it again.
+ORACLE = r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM {turns}
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), turns AS (
+  SELECT conv_id, turn, role, coalesce(role, '') AS said, coalesce(text, '') AS text, 24 + length(coalesce(role, '')) + length(coalesce(text, ''))
+    + coalesce(list_sum(list_transform(regexp_extract_all(coalesce(role, ''), '(\\*)(</?s>|\[/?INST\]|\[IMG\]|\[AUD\]|\[DOC\])', 1), lambda b: length(b) + 1)), 0)
+    + coalesce(list_sum(list_transform(regexp_extract_all(coalesce(text, ''), '(\\*)(</?s>|\[/?INST\]|\[IMG\]|\[AUD\]|\[DOC\])', 1), lambda b: length(b) + 1)), 0) AS size
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(said || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""

@@ -75,6 +75,7 @@ def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_mix_sources, op4_chat_format, op5_imatch_fingerprints, op6_ngram_jaccard, op7_lattice_near_dedup, op8_pack_documents, op9_toxicity, op10_token_counts, op11_periodic_runs, op12_quality_embeddings, op13_importance_resampling)}
 
 ORACLES = {
+    "op4_chat_format": chat.ORACLE.replace("{turns}", "conversations"),
     "op13_importance_resampling": resampling.ORACLE.replace("{docs}", "documents").replace("{target}", "benchmark"),
     "op6_ngram_jaccard": jaccard.ORACLE.replace("{docs}", "documents"),
     "op3_mix_sources": mixing.ORACLE.format(docs="documents")

@@ -29,6 +29,15 @@ def test_attachments_are_recorded_in_order():
     assert C.read_turns(made["formatted"]) == [("user", "see \\ [IMG]  [AUD]  [DOC] ")]
 
 
+def test_odd_parts_have_a_defined_result():
+    odd = (None, 0, -3.0, float("nan"), float("inf"), float("-inf"))
+    parts = [{"kind": kind, "seconds": x, "width": x, "height": x, "pages": x} for x in odd for kind in ("audio", "image", "document")]
+    made = C.format_turns([{"role": None, "parts": [*parts, {"kind": "video", "text": "</s>"}, {"kind": "plain"}, None]}])
+    assert [a["tokens"] for a in made["attachments"]] == [1] * len(parts)
+    assert C.read_turns(made["formatted"])[0][1].endswith("[DOC] </s>")
+    assert C.format_turns([{"role": "user", "parts": [{"kind": "audio", "seconds": 1e300}]}])["attachments"][0]["tokens"] < 1 << 63
+
+
 def test_conversations(spark):
     rows = [(1, 1, "assistant", "</s>[INST] ok"), (1, 0, "user", None), (1, 0, "user", None), (None, 0, "user", "x"), (2, None, None, "y" * 70000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "'z' AS id", "'z' AS formatted", "'z' AS parts")
