@@ -4,7 +4,7 @@ A table projects a unit vector at random onto a few groups of eight numbers and
 the E8 lattice; the points name a cell. A vector is listed in its own cell and in those one step on, where one group takes
 its second nearest point (the neighbour its remainder points to). Vectors that share a cell in any table are candidates;
 their cosine is computed in double precision. Groups per table follow the number of vectors, so cells stay small, and
-the number of tables follows the rate at which vectors at ``DESIGN`` cosine meet in simulated tables, for ``RECALL``.
+the number of tables follows the rate at which vectors at the threshold meet in simulated tables, for ``RECALL``.
 
 Short lists are joined to pairs, which their length bounds. Long lists (a dense group) are compared block by block:
 a task holds two blocks, and returns counts of links and a spanning forest, never the pairs. A pair that meets in several
@@ -218,7 +218,7 @@ def near_groups(vectors: DataFrame, threshold: float = 0.9, id_column: str = "ve
     everyone = scratch.store(_units(rows), "units")
     units = scratch.store(everyone.where("unit is not null").dropDuplicates(["node"]).select("node", "unit"), "nodes")
     size = units.agg(F.count("*").alias("n"), F.max(F.length("unit")).alias("bytes")).first()
-    tables, groups = design(size["n"], (size["bytes"] or 0) // 8)
+    tables, groups = design(size["n"], (size["bytes"] or 0) // 8, threshold)
 
     lists = scratch.store(_listed(units, tables, groups).distinct(), "lists")
     sizes = scratch.store(lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")

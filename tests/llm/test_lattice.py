@@ -64,3 +64,19 @@ def test_more_vectors_take_more_groups():
     assert L.design(500, 64)[1] == 1 and L.design(10**7, 64)[1] == 3
     with pytest.raises(Exception):
         L.Tables(0, 1, 1).keys(np.zeros((1, 3)), 0)
+
+
+@pytest.mark.parametrize("cosine", [0.8, 0.85, 0.9, 0.95])
+def test_tables_follow_the_threshold(cosine):
+    tables, groups = L.design(2000, 32, cosine)
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(size=(2, 400, 32))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(1)[:, None] * a
+    b = cosine * a + np.sqrt(1 - cosine**2) * b / np.linalg.norm(b, axis=1)[:, None]
+    made = L.Tables(32, tables, groups)
+    met = np.zeros(400, bool)
+    for table in range(tables):
+        x, y = made.keys(a, table), made.keys(b, table)
+        met |= (x[:, :, None] == y[:, None, :]).any((1, 2))
+    assert met.mean() > 0.9
