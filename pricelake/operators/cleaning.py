@@ -101,11 +101,15 @@ def keep_last(df: DataFrame, keys: Iterable[str] = CLEAN_KEY, sequence: Iterable
 
     ``row_number() = 1`` lets Spark keep one row per key and task before the shuffle, so a key that
     holds a large share of the rows sends one row per task and not its whole group.
+
+    The row's place in its task settles ties of ``sequence``. It also holds back filters on the keys that come after this step:
+    Catalyst would move them below the cleaning of the texts, and each text would be cleaned once more for its filter.
     """
     present = [k for k in keys if k in df.columns]
-    order = [F.col(c).desc_nulls_last() for c in sequence]
+    order = [F.col(c).desc_nulls_last() for c in (*sequence, "_place")]
     latest = F.row_number().over(Window.partitionBy(*present).orderBy(*order))
-    return df.withColumn("_rank", latest).where("_rank = 1").drop("_rank")
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    return placed.withColumn("_rank", latest).where("_rank = 1").drop("_rank", "_place")
 
 
 def clean(

@@ -135,3 +135,10 @@ def test_cleaning_twice_changes_nothing(spark):
     again = cleaning.clean_texts(once)
     assert once.select(texts).exceptAll(again.select(texts)).count() == 0
     assert cleaning.keep_last(once).count() == once.count()
+
+
+def test_filters_on_keys_after_keep_last_clean_no_text_twice(spark):
+    got = cleaning.clean(rows(spark, {}, {"market": None})).where("market IS NOT NULL AND commodity IS NOT NULL AND date IS NOT NULL")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("initcap(") == 5  # once per name column
+    assert [r["market"] for r in got.collect()] == ["Wakulima"]
