@@ -44,12 +44,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *by: str) -> DataFrame:
     """Deal the rows out over all cores: for inputs that cannot be split, such as one Parquet row group or a zipped CSV.
 
+    With ``by``, columns that tell rows apart, partitions have a size in place of a number (AQE splits and joins them to it),
+    so that tasks do not grow with the input; nor is every task's part sorted first, as dealing out in turn does.
     It costs a shuffle, so leave it out where the input has splits enough.
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.hint("rebalance", *by) if by else df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def blank_missing(df: DataFrame, tokens: Iterable[str] = MISSING_TOKENS) -> DataFrame:

@@ -36,7 +36,7 @@ def observations(spark: SparkSession, folder: str, source_file: bool = False, od
     if source_file:
         items = items.select("*", F.col("_metadata.file_name").alias("source_file"))
     joined = (
-        spread(items)
+        spread(items, *ORDERING)
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))

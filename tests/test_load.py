@@ -350,3 +350,14 @@ def test_jdbc_options(spark):
         "price_date >= DATE '2023-01-01' AND price_date < DATE '2024-01-01'",
         "price_date >= DATE '2024-01-01' AND price_date < DATE '2025-01-01'",
     ]
+
+
+def test_spread_by_columns_has_partitions_of_a_size(spark):
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "256k")
+    try:
+        small, big = (files.spread(spark.range(0, n, 1, 40).withColumn("none", F.lit(None).cast("int")), "id", "none") for n in (1_000, 4_000_000))
+        assert small.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism < big.rdd.getNumPartitions() // 2
+        assert big.count() == 4_000_000
+    finally:
+        spark.conf.unset(setting)
