@@ -13,8 +13,8 @@ from ..schemas import MISSING_TOKENS, NULL_TEXTS
 _BLANKS = r"(?U)[\s\x1c-\x1f]+"
 # Blanks of one byte other than the space.
 _CONTROLS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
-# A character without case before a letter. Before a space too, so that a mark in the data survives.
-_WORD_BREAK = r"([^\p{LC} ])(?=[\p{L} ])"
+# A character without case before a letter; and the first half of a mark that the data holds, so that it survives.
+_WORD_BREAK = r"([^\p{LC} ])(?=\p{L}|(?<=\x01) )"
 _MARK = "\u0001 "
 
 

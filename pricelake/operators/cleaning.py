@@ -56,7 +56,7 @@ def parse_prices(df: DataFrame, columns: Iterable[str] = PRICE_COLUMNS, dtype: s
 
 def derive_parts(
     df: DataFrame,
-    date: str = "date",
+    date: str | None = "date",
     integers: Iterable[str] = ("source_market_id", "source_commodity_id"),
     coordinates: Iterable[str] = ("latitude", "longitude"),
 ) -> DataFrame:
@@ -120,25 +120,39 @@ def clean(
     fmt: str = DAY_FORMAT,
 ) -> DataFrame:
     """All steps in order; the result keeps the sequence columns that are not cleaned columns."""
-    return (
-        df.transform(standardise, strict_tokens=strict_tokens, fmt=fmt)
-        .transform(keep_last, keys=keys, sequence=sequence)
-    )
+    keys, sequence = list(keys), list(sequence)
+    valued = clean_values(df, strict_tokens, fmt)
+    if {*keys, *sequence} <= {*valued.columns}:
+        return valued.transform(keep_last, keys=keys, sequence=sequence).transform(derive_values)
+    # A key may be a column that is derived, such as the year.
+    return valued.transform(derive_values).transform(keep_last, keys=keys, sequence=sequence)
 
 
-def standardise(df: DataFrame, strict_tokens: bool = False, fmt: str = DAY_FORMAT) -> DataFrame:
-    """Every row-wise step: no shuffle, row count unchanged."""
+def clean_values(df: DataFrame, strict_tokens: bool = False, fmt: str = DAY_FORMAT) -> DataFrame:
+    """The row-wise steps on the columns that come with a row."""
     return (
         df.transform(standard_names)
         .transform(parse_dates, fmt=fmt)
         .transform(clean_texts, strict_tokens=strict_tokens)
         .transform(parse_prices)
-        .transform(derive_parts)
+        .transform(derive_parts, date=None)
+    )
+
+
+def derive_values(df: DataFrame) -> DataFrame:
+    """The row-wise steps that add columns. ``keep_last`` needs none of them, so they come after its sorts and its shuffle."""
+    return (
+        df.transform(derive_parts, integers=(), coordinates=())
         .transform(price_per_unit)
         .transform(flag_valid)
     )
 
 
+def standardise(df: DataFrame, strict_tokens: bool = False, fmt: str = DAY_FORMAT) -> DataFrame:
+    """Every row-wise step: no shuffle, row count unchanged."""
+    return df.transform(clean_values, strict_tokens=strict_tokens, fmt=fmt).transform(derive_values)
+
+
 def counters(df: DataFrame, keys: Iterable[str] = CLEAN_KEY, fmt: str = DAY_FORMAT, kept: int | None = None) -> DataFrame:
     """``counter, rows``: what cleaning takes away. Dates and prices that fail or are zero, and rows that repeat a key.
 

@@ -142,3 +142,24 @@ def test_filters_on_keys_after_keep_last_clean_no_text_twice(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("initcap(") == 5  # once per name column
     assert [r["market"] for r in got.collect()] == ["Wakulima"]
+
+
+def test_derived_columns_stay_out_of_the_shuffle_of_keep_last(spark):
+    plan = cleaning.clean(rows(spark, {}))._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange", 1)
+    for name in ("year", "month", "price_per_kg", "is_valid_price"):
+        assert f"AS {name}#" in above and f"{name}#" not in below, name
+
+
+def test_keys_of_clean_may_be_derived(spark):
+    changes = ({"date": "2024-01-15", "price": "1"}, {"date": "2024-07-15", "price": "2"}, {"date": "2023-07-15", "price": "3"})
+    assert [r["price_kes"] for r in cleaned(spark, *changes, keys=("year",))] == [Decimal("2.0000"), Decimal("3.0000")]
+
+
+def test_word_starts_and_marks_of_the_data(spark):
+    texts = ["o'neil (x)  7th", "4 b-c", "a\u0001 b", "\u0001\u0001 b", "a\u0001b", "\u00aa\u05d0b \u01c6a", "\U0001d4d0b 'c", ""]
+    mark = "\u0001 "
+    old = F.replace(F.initcap(F.regexp_replace("t", r"([^\p{LC} ])(?=[\p{L} ])", "$1" + mark)), F.lit(mark), F.lit(""))
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", title_words(F.col("t")).alias("now"), old.alias("old")).collect()
+    assert [r["now"] for r in got] == [r["old"] for r in got]
+    assert {r["t"]: r["now"] for r in got}["a\u0001 b"] == "A\u0001 B"
