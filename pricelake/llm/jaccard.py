@@ -291,8 +291,7 @@ def _grouped(rows: DataFrame, plan: Plan, scratch: Scratch) -> tuple[DataFrame,
     names = info.where("node is not null").groupBy("node").agg(F.min(F.struct("id", "row")).alias("one")).select("node", "one.id", "one.row")
     wanted = scratch.store(names.join(lists.select("node").distinct(), "node", "left_semi"), "wanted")
     sets = scratch.store(_sets(rows, wanted, plan).dropDuplicates(["node"]), "sets")
-    lists = lists.join(sets.select("node", "size", "parity").hint("merge"), "node")
-    large = linked(scratch, lists, lambda pairs: _checked(pairs, sets, plan), "large", _may_link(plan))
+    large = linked(scratch, lists, lambda pairs: _checked(pairs, sets, plan), "large", _may_link(plan), about=sets.select("node", "size", "parity"))
 
     edges = small.unionByName(large.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")))
     groups = components(scratch, edges, "groups")

@@ -56,6 +56,27 @@ def test_every_link_between_list_members_is_found(spark, scratch, rounds):
     assert all(got.get(n, n) == m for n, m in expected.items())
 
 
+def test_wide_columns_join_reduced_lists(spark, scratch):
+    """Thirty lists of the same members are one list, and what ``about`` says of its members rules pairs out."""
+    lists = [(k, n) for k in range(30) for n in (1, 2, 3)] + [(40, 2), (40, 4)]
+    about = spark.createDataFrame([(n, n % 2) for n in range(1, 5)], "node long, odd int")
+    kept, asked = scratch(), []
+    stored = kept.store
+    kept.store = lambda df, name: asked.append((name, stored(df, name))) or asked[-1][1]
+    seen = []
+
+    def verify(pairs):
+        seen.extend(tuple(r) for r in pairs.collect())
+        found = dict(asked)["x-lists"]
+        assert set(found.columns) == {"key", "node", "odd"} and found.count() == 5
+        return pairs
+
+    even = lambda left, right: left("odd") == right("odd")
+    groups = graph.linked(kept, spark.createDataFrame(lists, "key long, node long"), verify, "x", even, about=about)
+    assert {r["node"]: r["component"] for r in groups.collect()} == {1: 1, 3: 1, 2: 2, 4: 2}
+    assert set(seen) == {(1, 3), (2, 4)}
+
+
 def variants(rng, count, size, edits):
     base = [rng.choice(WORDS) + str(rng.randint(0, 9)) for _ in range(size)]
     out = []
