@@ -179,6 +179,46 @@ def test_block_keys_find_every_near_hash():
             assert set(keys[0]) & set(keys[1])
 
 
+def test_long_lists_are_thinned_to_partners():
+    """Against all pairs: one key of thousands of unlike lines lets only the lines with a near one pass."""
+    rng = np.random.default_rng(9)
+    most = np.iinfo(np.uint64).max
+    sketches = rng.integers(0, most, (3000, 2), np.uint64)
+    sketches[:, 0] = sketches[:, 0] >> np.uint64(16) << np.uint64(16) | rng.integers(20, 900, 3000).astype(np.uint64)
+    sketches[:40, 0] = sketches[:40, 0] >> np.uint64(16) << np.uint64(16) | np.uint64(70_000 & 0xFFFF)
+    sketches[100:150] = sketches[:50] ^ np.array([1 << 20, 1 << 63], np.uint64)
+    sketches = sketches.view(np.int64)
+    keys = np.sort(np.where(rng.random(3000) < 0.9, 5, rng.integers(-9, 9, 3000)))
+    rows = np.column_stack([keys, np.arange(3000), sketches])
+    near = lines.near_sketches(sketches[:, None], sketches[None]) & (keys[:, None] == keys[None])
+    expected = near.sum(1) > 1
+    assert (lines.partnered(rows) == expected).all() and 0 < expected.sum() < 200
+    assert lines.partnered(rows[:0]).shape == (0,)
+
+
+def test_long_keys_pass_only_lines_with_a_partner(spark):
+    rng = np.random.default_rng(10)
+    made = rng.integers(0, np.iinfo(np.uint64).max, (2000, 2), np.uint64)
+    made[:, 0] = made[:, 0] >> np.uint64(16) << np.uint64(16) | np.uint64(300)
+    made[1] = made[0] ^ np.uint64(1 << 40)
+    made = made.view(np.int64)
+    expected = np.flatnonzero(lines.near_sketches(made[:, None], made[None]).sum(1) > 1)
+    rows = [(7, n, *map(int, pair)) for n, pair in enumerate(made)]
+    left = lines._near(spark.createDataFrame(rows, lines.LISTED_TYPE)).collect()
+    assert sorted(r["node"] for r in left) == list(expected) and set(expected) >= {0, 1} and len(expected) < 400
+
+
+def test_sketches_count_every_run():
+    """Also in lines of more runs than a byte counts to."""
+    given = ["x" * 3000 + " y" * 400, "a b c d e f g h", "one two three " * 19]
+    for line, row in zip(given, lines.sketches(given)):
+        runs, _ = lines._runs([line], lines.SKETCH_GRAM)
+        drawn = np.stack([runs, lines.mix(runs + lines.U(lines.BASE))], axis=1).view(np.uint8)
+        ones = np.unpackbits(drawn, axis=1, bitorder="little").sum(0)[: lines.SKETCHED]
+        assert (np.unpackbits(row.view(np.uint8), bitorder="little")[16:] == (2 * ones > len(runs))).all()
+        assert int(row[0]) & 0xFFFF == len(line)
+
+
 def row_hash(text):
     """Spark's xxhash64 of a text."""
     return int.from_bytes(xxhash.xxh64_digest((text or "").encode(), seed=42), "big", signed=True)
