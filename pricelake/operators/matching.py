@@ -56,6 +56,12 @@ def on_dates(existing: DataFrame, days: DataFrame, date: str, year: str | None =
     return existing.join(side, existing[date].eqNullSafe(side["day"]), "left_semi")
 
 
+def too_large_to_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's estimate of ``df`` is above the size up to which it broadcasts the side of a join."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > limit
+
+
 def lookup(
     rows: DataFrame, dimension: DataFrame, on: Mapping[str, str], key: str, broadcast: bool = False
 ) -> DataFrame:

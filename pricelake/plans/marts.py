@@ -33,17 +33,19 @@ def staged(cleaned: DataFrame, carried: Sequence[str] = ()) -> tuple[DataFrame,
     return split_rejects(shaped, STAGING_REQUIRED, prices)
 
 
-def view_expressions() -> list[str]:
-    """The view's select list, for a DataFrame and for ``CREATE VIEW`` alike."""
+def view_expressions(held: Sequence[str] | None = None) -> list[str]:
+    """The view's select list, for a DataFrame and for ``CREATE VIEW`` alike; with ``held``, of the columns held alone."""
     source = {"date": "price_date"}
     return [
         f"coalesce({c}, '{VIEW_DEFAULTS[c]}') AS {c}" if c in VIEW_DEFAULTS else f"{source.get(c, c)} AS {c}"
         for c in VIEW_COLUMNS
+        if held is None or source.get(c, c) in held
     ]
 
 
 def stg_view(staging: DataFrame) -> DataFrame:
-    return staging.where(VIEW_FILTER).selectExpr(*view_expressions())
+    """The valid rows. Staging rows that were stored with some of their columns give a view with those."""
+    return staging.where(VIEW_FILTER).selectExpr(*view_expressions(staging.columns))
 
 
 def with_month_start(view: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.matching import too_large_to_broadcast
 from ..schemas import RAW_COLUMNS
 from .files import blank_missing, spread
 
@@ -35,13 +36,17 @@ def observations(spark: SparkSession, folder: str, source_file: bool = False, od
     items = table(spark, folder, "lineitem")
     if source_file:
         items = items.select("*", F.col("_metadata.file_name").alias("source_file"))
+    parts, of_part = table(spark, folder, "part").select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey")
+    # Parts too many to broadcast need a shuffle of the items anyhow, and AQE joins and splits its partitions by size as it
+    # does those of ``spread``. They come first, so that the names of suppliers are not in this shuffle.
+    shuffled = too_large_to_broadcast(parts)
     joined = (
-        spread(items, *ORDERING)
+        (items.join(parts.hint("merge"), of_part) if shuffled else spread(items, *ORDERING))
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
+    joined = joined if shuffled else joined.join(parts, of_part)
     nothing = F.lit(None).cast("string")
     units = ["KG", "90 KG", " 50  kg ", "2 KG", "200 G", "L", "Head", "100 KG"]
     slot = F.col("l_quantity").cast("int") % 9
