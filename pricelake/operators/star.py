@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..functions.dates import date_key
 from ..functions.keys import hash_key, match_columns, row_fingerprint
 from ..schemas import COMMODITY_KEY, FACT_KEY, MARKET_KEY
-from .matching import lookup, unseen
+from .matching import lookup, too_large_to_broadcast, unseen
 
 
 def _calendar(days: DataFrame) -> DataFrame:
@@ -43,10 +43,10 @@ def dim_date_of(df: DataFrame, date: str) -> DataFrame:
 
 
 def _first_per_key(rows: DataFrame, keys: Iterable[str], order: Iterable[str]) -> DataFrame:
-    """One row per key from rows that are made distinct first (a hash aggregate with map-side combine)."""
+    """The first row per key; ``order`` names all other columns. ``row_number() = 1`` keeps a row per key and task before the shuffle."""
     ordered = [F.col(c).asc_nulls_last() for c in order]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordered))
-    return rows.distinct().withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
 def dim_market(staged: DataFrame) -> DataFrame:
@@ -112,18 +112,26 @@ def facts(
     """
     rows = staged.where("is_valid_price")
     keyed = lookup(rows, dates, {"price_date": "full_date"}, "date_id", broadcast_dates)
-    keyed = lookup(keyed, markets, {"market": "market_name", "district": "district", "county": "county"}, "market_id")
-    keyed = lookup(keyed, commodities, {"commodity": "commodity_name", "unit": "unit"}, "commodity_id")
+    members = [
+        (markets, {"market": "market_name", "district": "district", "county": "county"}, "market_id"),
+        (commodities, {"commodity": "commodity_name", "unit": "unit"}, "commodity_id"),
+    ]
+    # Large dimensions last: the texts of the others are not in their shuffles.
+    for member in sorted(members, key=lambda m: too_large_to_broadcast(m[0])):
+        keyed = lookup(keyed, *member)
     keyed = keyed.select(*FACT_KEY, "price_kes", "price_usd", "price_per_kg", "is_valid_price")
-    keyed, names = match_columns(keyed, ("pricetype",))
-    names = [*FACT_KEY[:3], *names]
+    names = [*FACT_KEY]
+    if existing is not None:
+        keyed, names = match_columns(keyed, ("pricetype",))
+        names = [*FACT_KEY[:3], *names]
     order = [F.col(c).desc_nulls_last() for c in ("price_kes", "price_usd", "price_per_kg")]
     rank = F.row_number().over(Window.partitionBy(*names).orderBy(*order))
     keyed = keyed.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
     if existing is not None:
         seen, _ = match_columns(existing.select(*FACT_KEY), ("pricetype",))
         keyed = keyed.join(seen.select(*names).distinct(), names, "left_anti")
-    return keyed.drop(*names[3:])
+        keyed = keyed.drop(*names[3:])
+    return keyed
 
 
 def with_fact_id(rows: DataFrame) -> DataFrame:

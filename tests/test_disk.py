@@ -6,6 +6,8 @@ import time
 import pytest
 
 from conftest import SAMPLE
+from pricelake import queries
+from pricelake.operators import matching, star
 from pricelake.queries import MONTHLY_INPUT, STAR_INPUT, Inputs, run
 from pricelake.scratch import CLEANUP, Scratch
 from pricelake.sources import sample_tables
@@ -68,9 +70,60 @@ def test_observations_are_the_same_with_and_without_broadcast(spark):
     "name, columns",
     [
         ("mart_monthly_merged", MONTHLY_INPUT), 
-        
+        ("tests_by_year", STAR_INPUT),
     ],
 )
 def test_staged_rows_are_stored_with_the_columns_that_are_read(spark, stored, name, columns):
     run(name, spark, SAMPLE)
     assert stored["staged"] == [*columns]
+
+
+def test_staged_rows_are_dropped_when_only_the_star_schema_is_read(spark):
+    x = Inputs(spark, SAMPLE).keep(*STAR_INPUT)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{x.scratch.root}/staged")
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    x.source
+    assert there.exists(path)
+    x.only_star()
+    assert not there.exists(path) and x.facts.count() and x.dates.count() and x.markets.count()
+
+
+def test_tests_by_year_clean_the_texts_once(spark, monkeypatch):
+    calls = []
+    clean = queries.cleaning.clean_values
+    monkeypatch.setattr(queries.cleaning, "clean_values", lambda *a, **k: calls.append(1) or clean(*a, **k))
+    run("tests_by_year", spark, SAMPLE)
+    assert len(calls) == 1
+
+
+STAGED = (
+    "price_date date, market string, district string, county string, source_market_id int, latitude decimal(10,6),"
+    " longitude decimal(10,6), commodity string, category string, unit string, source_commodity_id int,"
+    " pricetype string, price_kes decimal(12,4), price_usd decimal(12,4), price_per_kg decimal(12,4), is_valid_price boolean"
+)
+
+
+def test_members_need_one_shuffle(spark):
+    rows = spark.createDataFrame([], STAGED)
+    for dimension in (star.dim_market(rows), star.dim_commodity(rows)):
+        assert plan(dimension).count("Exchange hashpartitioning") == 1
+
+
+def test_first_member_is_picked_among_repeats_and_nulls(spark):
+    rows = spark.sql("SELECT * FROM VALUES ('a', 2, 'x'), ('a', 1, NULL), ('a', 1, NULL), ('a', 1, 'z'), ('a', NULL, 'b'), (NULL, 3, 'n') AS t(k, o, v)")
+    assert sorted(map(str, star._first_per_key(rows, ("k",), ("o", "v")).collect())) == ["Row(k='a', o=1, v='z')", "Row(k=None, o=3, v='n')"]
+
+
+def test_large_dimensions_are_looked_up_last(spark):
+    rows = spark.createDataFrame([], STAGED)
+    markets, commodities = star.dim_market(rows), star.dim_commodity(rows)
+    with Scratch(spark) as scratch:
+        small = scratch.store(commodities, "small")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+        try:
+            assert matching.too_large_to_broadcast(spark.range(10**9)) and not matching.too_large_to_broadcast(small)
+            big = markets.crossJoin(spark.range(10**9).select("id").withColumnRenamed("id", "_n")).drop("_n")
+            text = plan(star.facts(rows, star.dim_date(spark), big, small))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.index("coalesce(market#") < text.index("coalesce(commodity#")  # the upper join is the later one
