@@ -69,7 +69,7 @@ def test_observations_are_the_same_with_and_without_broadcast(spark):
 @pytest.mark.parametrize(
     "name, columns",
     [
-        ("mart_monthly_merged", MONTHLY_INPUT), ("test_accepted_range", MONTHLY_INPUT), 
+        ("mart_monthly_merged", MONTHLY_INPUT), ("test_accepted_range", MONTHLY_INPUT), ("test_not_null", MONTHLY_INPUT),
         ("tests_by_year", STAR_INPUT),
     ],
 )
