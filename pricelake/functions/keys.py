@@ -45,3 +45,8 @@ def match_columns(df: DataFrame, keys: Iterable[str], prefix: str = "_k_") -> tu
         extra[f"{prefix}{key}_null"] = F.col(key).isNull()
         names += [f"{prefix}{key}", f"{prefix}{key}_null"]
     return df.withColumns(extra), names
+
+
+def match_value(key: str, prefix: str = "_k_") -> Column:
+    """``key`` again from the copies that ``match_columns`` adds."""
+    return F.when(~F.col(f"{prefix}{key}_null"), F.col(f"{prefix}{key}")).alias(key)

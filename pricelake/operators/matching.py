@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.keys import match_columns
+from ..functions.keys import match_columns, match_value
 
 log = logging.getLogger("pricelake.matching")
 
@@ -24,7 +24,8 @@ def unseen(incoming: DataFrame, existing: DataFrame, keys: Iterable[str]) -> Dat
     """Rows of ``incoming`` whose key is not in ``existing``; NULL key parts match each other.
 
     Existing keys are made distinct first, on the same hash partitioning as the join, so a key that
-    is repeated there cannot grow one task.
+    is repeated there cannot grow one task. The incoming rows go through the join with the NULL-free copies in place of
+    their keys, not with both.
     """
     keys = list(keys)
     absent = [k for k in keys if k not in incoming.columns or k not in existing.columns]
@@ -33,7 +34,8 @@ def unseen(incoming: DataFrame, existing: DataFrame, keys: Iterable[str]) -> Dat
         return incoming
     left, names = match_columns(incoming, keys)
     right, _ = match_columns(existing.select(*keys), keys)
-    return left.join(right.select(*names).distinct(), names, "left_anti").drop(*names)
+    fresh = left.drop(*keys).join(right.select(*names).distinct(), names, "left_anti")
+    return fresh.select(*[match_value(c) if c in keys else F.col(f"`{c}`") for c in incoming.columns])
 
 
 def dates_of(rows: DataFrame, date: str) -> DataFrame:

@@ -79,6 +79,11 @@ def test_staged_rows_are_stored_with_the_columns_that_are_read(spark, stored, na
     assert stored["staged"] == [*columns]
 
 
+def test_staging_incremental_stores_what_it_shows(spark, stored):
+    shown = run("staging_incremental", spark, SAMPLE).columns
+    assert {*stored["staged"]} == {*shown} - {"load_no"}
+
+
 def test_facts_read_once_are_not_stored(spark, stored):
     run("load_fact", spark, SAMPLE)
     assert "facts" not in stored and "dates" in stored
@@ -133,3 +138,14 @@ def test_large_dimensions_are_looked_up_last(spark):
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert text.index("coalesce(market#") < text.index("coalesce(commodity#")  # the upper join is the later one
+
+
+def test_unseen_rows_are_shuffled_without_copies_of_their_keys(spark, no_broadcast):
+    schema = "day date, a string, v int"
+    incoming = spark.createDataFrame([(None, "x", 1), (None, None, 2), (None, "", 3)], schema)
+    got = matching.unseen(incoming, spark.createDataFrame([(None, None, 9)], schema), ["day", "a"])
+    assert got.columns == ["day", "a", "v"] and got.dtypes == incoming.dtypes
+    assert sorted(map(tuple, got.collect())) == [(None, "", 3), (None, "x", 1)]
+    lines = plan(got).splitlines()
+    left = next(line for k, line in enumerate(lines) if "Project [" in line and "Exchange" in lines[k - 1] and "v#" in line)
+    assert not re.search(r"[\[ ](day|a)#\d+[,\]]", left), left
