@@ -70,7 +70,7 @@ def test_observations_are_the_same_with_and_without_broadcast(spark):
     "name, columns",
     [
         ("mart_monthly_merged", MONTHLY_INPUT), ("test_accepted_range", MONTHLY_INPUT), ("test_not_null", MONTHLY_INPUT),
-        ("fact_incremental", STAR_INPUT), ("load_fact", STAR_INPUT), ("broken_relationship", STAR_INPUT), 
+        ("fact_incremental", STAR_INPUT), ("load_fact", STAR_INPUT), ("broken_relationship", STAR_INPUT), ("test_relationship", STAR_INPUT),
         ("tests_by_year", STAR_INPUT),
     ],
 )
